@@ -150,8 +150,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
             F.array(*[F.percentile_approx(F.col(c).cast("double"), cuts, 2560) for c in columns]),
         )
     ).scalar()
-    below = F.filter(sketch[F.col("measure")], lambda edge: edge < F.col("value"))
-    sliced = histogram.withColumn("slice", F.size(below))
+    below = F.filter("edges", lambda edge: edge < F.col("value"))
+    sliced = (
+        histogram.withColumn("edges", sketch[F.col("measure")])
+        .withColumn("slice", F.size(below))
+        .drop("edges")
+    )
     totals = sliced.groupBy("measure", "slice").agg(F.sum("n").alias("slice_n"))
     measure = Window.partitionBy("measure")
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)

@@ -1,8 +1,8 @@
 """All registered queries with their SQL counterparts."""
 
-from zonalis.plans import catalog_aggregates, catalog_scalar
+from zonalis.plans import catalog_aggregates, catalog_models, catalog_scalar, catalog_windows
 
-PARTS = [catalog_scalar, catalog_aggregates]
+PARTS = [catalog_scalar, catalog_aggregates, catalog_windows, catalog_models]
 
 
 def queries() -> dict:
