@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonalis.functions import fixed
 from zonalis.operators.summaries import exact_quantiles
@@ -94,7 +95,7 @@ def score_rows(df: DataFrame, nodes: DataFrame, features: list[str], sample_rows
     The node table has at most trees x (2 x sample - 1) rows (51,100 by default) whatever
     the data size; that bound is what makes it fit for a broadcast variable.
     """
-    table = nodes.orderBy("tree", "node").toPandas()
+    table = nodes.toPandas().sort_values(["tree", "node"], ignore_index=True)
     starts = np.flatnonzero(table["node"].to_numpy() == 0)
     offset = np.repeat(starts, np.diff(np.append(starts, len(table))))
     left = np.where(table["left"] >= 0, table["left"] + offset, -1)
@@ -130,7 +131,7 @@ def score_rows(df: DataFrame, nodes: DataFrame, features: list[str], sample_rows
             batch["iso_score"] = 2.0 ** (-depth / len(roots) / norm) if norm > 0 else 0.5
             yield batch
 
-    schema = df.schema.add("iso_score", "double")
+    schema = T.StructType([*df.schema.fields, T.StructField("iso_score", T.DoubleType())])
     return df.mapInPandas(score, schema)
 
 

@@ -1,11 +1,11 @@
 """Dashboard queries: summaries, counts, profiles and lists."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
 from zonalis.functions import measures as m
-from zonalis.operators.selection import at_latest_date, in_year, latest_date
+from zonalis.operators.selection import at_latest_date, in_year, latest_date, running_start
 
 MEASURES = [
     "rainfall_mm",
@@ -128,10 +128,9 @@ def zone_snapshot(panel: DataFrame) -> DataFrame:
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Interpolated quantiles of whole columns without gathering a column in one task.
 
-    Values are counted first, so a hot value becomes one row. A quantile sketch then cuts
-    each column into 256 slices; slice totals give every slice its starting rank and only
-    the rows inside a slice are ranked together. Rows (measure, value, n) keep the rank
-    range they cover, and a quantile is read where its rank falls.
+    Values are counted first, so a hot value becomes one row; the counts are then summed
+    in range partitions, which gives each distinct value the range of ranks it covers. A
+    quantile is read where its rank falls.
     """
     pairs = F.explode(
         F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in columns])
@@ -143,41 +142,15 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         .groupBy("measure", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    cuts = [i / 256 for i in range(1, 256)]
-    sketch = df.agg(
-        F.map_from_arrays(
-            F.array(*[F.lit(c) for c in columns]),
-            F.array(*[F.percentile_approx(F.col(c).cast("double"), cuts, 2560) for c in columns]),
-        )
-    ).scalar()
-    below = F.filter("edges", lambda edge: edge < F.col("value"))
-    sliced = (
-        histogram.withColumn("edges", sketch[F.col("measure")])
-        .withColumn("slice", F.size(below))
-        .drop("edges")
-    )
-    totals = sliced.groupBy("measure", "slice").agg(F.sum("n").alias("slice_n"))
-    measure = Window.partitionBy("measure")
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(
-        "measure",
-        "slice",
-        F.coalesce(F.sum("slice_n").over(before(measure.orderBy("slice"))), F.lit(0)).alias("start"),
-        F.sum("slice_n").over(measure).alias("total"),
-    )
-    inside = before(Window.partitionBy("measure", "slice").orderBy("value"))
-    # 256 slices per column at most
-    ranked = sliced.join(F.broadcast(starts), ["measure", "slice"]).select(
-        "measure",
-        "value",
-        "total",
-        (F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("low"),
-        "n",
-    )
+    ranked = running_start(histogram, ["measure", "value"], "n", "start")
+    # one row per measure
+    totals = ranked.groupBy("measure").agg(F.sum("n").alias("total"), F.min("start").alias("first"))
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
     target = F.col("p") * (F.col("total") - 1)
-    spots = ranked.withColumn("p", wanted).select(
-        "measure", "p", "value", target.alias("target"), "low", (F.col("low") + F.col("n")).alias("high")
+    goals = totals.withColumn("p", wanted).withColumn("target", target)
+    low = F.col("start") - F.col("first")
+    spots = ranked.join(F.broadcast(goals), "measure").select(
+        "measure", "p", "value", "target", low.alias("low"), (low + F.col("n")).alias("high")
     )
     holds = lambda rank: (F.col("low") <= rank) & (rank < F.col("high"))
     floor, ceil = F.floor("target"), F.ceil("target")

@@ -42,8 +42,8 @@ QUICK = {
 
 
 def split_features(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Engineered rows, written once, as train and test."""
-    rows = stage(split_by_time(engineer(panel)), "features")
+    """Engineered rows as train and test; panel and features are each written once."""
+    rows = split_by_time(stage(engineer(stage(panel, "panel")), "features"))
     return rows.filter("role = 'train'"), rows.filter("role = 'test'")
 
 
@@ -118,7 +118,7 @@ def anomaly_report(panel: DataFrame, threshold: float = 3.0) -> DataFrame:
 
 
 def hybrid_metrics(panel: DataFrame, test_years: int = 3, trees: int = 200, depth: int = 30) -> DataFrame:
-    rows = stage(split_by_time(panel, test_years), "panel")
+    rows = split_by_time(stage(panel, "panel"), test_years)
     model = models.fit_hybrid(rows.filter("role = 'train'"), trees, depth)
     scored = model.transform(rows.filter("role = 'test'"))
     return evaluation.regression_metrics(

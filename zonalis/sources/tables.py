@@ -96,31 +96,53 @@ def _moments(rollup: DataFrame) -> Column:
 
 
 def panel_from_rollup(rollup: DataFrame) -> DataFrame:
+    """Measures are built in layers, so each expression is planned and evaluated once."""
     moments = _moments(rollup)
     years = F.year("date") - 1995
-    urban = m.rounded(m.bounded(0.1 + 0.03 * years + 5 * _mean("l_tax"), 0, 1), 3)
-    level = 15 + 6 * (_mean("l_extendedprice") - moments["mean"]) / moments["std"]
-    measured = zone_dimension(rollup).select(
+    raw = zone_dimension(rollup).select(
         F.col("date").cast("date").alias("date"),
         "zone",
         "latitude",
         "longitude",
         "is_coastal",
         "soil_type",
+        (8 * _mean("l_quantity")).alias("rain"),
+        (22 + 200 * _mean("l_discount")).alias("temperature"),
+        (0.1 + 0.03 * years + 5 * _mean("l_tax")).alias("urban"),
+        (12000 * F.exp(0.03 * years / 5)).alias("population"),
+        (15 + 6 * (_mean("l_extendedprice") - moments["mean"]) / moments["std"]).alias("level"),
+    )
+    clipped = raw.withColumns(
+        {"urban": m.bounded(F.col("urban"), 0, 1), "level": m.bounded(F.col("level"), 1, 35)}
+    )
+    measured = clipped.select(
+        "date",
+        "zone",
+        "latitude",
+        "longitude",
+        "is_coastal",
+        "soil_type",
         m.soil_permeability(F.col("soil_type")).alias("soil_permeability"),
-        m.rounded(8 * _mean("l_quantity"), 2).alias("rainfall_mm"),
-        m.rounded(22 + 200 * _mean("l_discount"), 2).alias("temperature_c"),
-        urban.alias("urban_fraction"),
-        m.rounded(12000 * F.exp(0.03 * years / 5), 0).alias("population_density"),
-        m.rounded(m.bounded(level, 1, 35), 3).alias("groundwater_level"),
+        m.rounded(F.col("rain"), 2).alias("rainfall_mm"),
+        m.rounded(F.col("temperature"), 2).alias("temperature_c"),
+        m.rounded(F.col("urban"), 3).alias("urban_fraction"),
+        m.rounded(F.col("population"), 0).alias("population_density"),
+        m.rounded(F.col("level"), 3).alias("groundwater_level"),
     )
-    covered = measured.select(
-        "*",
-        m.rounded(m.evapotranspiration_proxy(F.col("temperature_c")), 2).alias("evapotranspiration"),
-        m.rounded(m.ndvi_proxy(F.col("urban_fraction")), 3).alias("ndvi"),
-        m.risk_level(F.col("groundwater_level")).alias("risk_level"),
+    proxies = measured.withColumns(
+        {
+            "evapotranspiration": m.evapotranspiration_proxy(F.col("temperature_c")),
+            "ndvi": m.ndvi_proxy(F.col("urban_fraction")),
+            "risk_level": m.risk_level(F.col("groundwater_level")),
+        }
     )
-    return covered.withColumn("risk_code", m.risk_code(F.col("risk_level"))).select(*PANEL_COLUMNS)
+    return proxies.withColumns(
+        {
+            "evapotranspiration": m.rounded(F.col("evapotranspiration"), 2),
+            "ndvi": m.rounded(F.col("ndvi"), 3),
+            "risk_code": m.risk_code(F.col("risk_level")),
+        }
+    ).select(*PANEL_COLUMNS)
 
 
 def zone_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
