@@ -19,20 +19,21 @@ def series(spark, values, zone="A", start=(2000, 1), months=None):
 
 
 def make_panel(spark, zones=6, months=72, seed=3):
-    """A panel with a learnable level: slow trend, seasonal swing and rain response."""
+    """A panel with a learnable level: a base per zone, a seasonal swing and a rain response."""
     rng = np.random.default_rng(seed)
     soils = {"Sandy": 0.9, "Clayey": 0.2, "Loamy": 0.6, "Rocky": 0.1, "Alluvial": 0.75}
     names = list(soils)
     rows = []
     for z in range(zones):
-        level = 8.0 + 1.5 * z
+        base = 8.0 + 2.2 * z
         for t in range(months):
             date = month(t)
             wet = 150 if date.month >= 10 else 40
             rain = round(float(rng.gamma(2, wet / 2)), 2)
             temp = round(28 + 6 * float(np.sin(t / 12 * 2 * np.pi)) + float(rng.normal(0, 0.5)), 2)
             urban = round(min(1.0, 0.3 + 0.05 * z + 0.002 * t), 3)
-            level = float(np.clip(level + 0.12 - 0.0008 * rain + rng.normal(0, 0.1), 1, 35))
+            swing = 4 * float(np.sin(t / 12 * 2 * np.pi))
+            level = float(np.clip(base + swing - 0.004 * rain + rng.normal(0, 0.2), 1, 35))
             soil = names[z % 5]
             risk = "Low" if level <= 12 else "Medium" if level <= 20 else "High"
             rows.append(

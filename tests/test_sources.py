@@ -1,7 +1,7 @@
 from helpers import make_panel
 
 from zonalis.operators import selection
-from zonalis.session import fresh_path, stage
+from zonalis.session import fresh_path, shared_dir, stage
 from zonalis.sources import panel as io
 from zonalis.sources import tables
 
@@ -46,4 +46,4 @@ def test_panel_reads_the_tables_once(spark):
 
 def test_staged_rows_are_in_the_shared_folder(spark):
     staged = stage(make_panel(spark, zones=1, months=3))
-    assert staged.inputFiles()[0].split("/staged-")[0].endswith(spark.sparkContext.getCheckpointDir().split(":")[-1])
+    assert shared_dir(spark).split("://")[-1] in staged.inputFiles()[0]

@@ -165,12 +165,17 @@ def boosted_classifier(**params):
 
 
 def probabilities(scored: DataFrame) -> Column:
-    """Class probabilities: the model's own, or normalised sigmoids of one-vs-rest margins."""
+    """Class probabilities: the model's own, or normalised sigmoids of one-vs-rest margins.
+
+    One entry per risk label: a class above all trained ones gets 0.
+    """
+    labels = len(fixed.RISK_LABELS)
+    padded = lambda a: F.slice(F.concat(a, F.array_repeat(F.lit(0.0), labels)), 1, labels)
     if "probability" in scored.columns:
-        return vector_to_array("probability")
+        return padded(vector_to_array("probability"))
     odds = F.transform(vector_to_array("rawPrediction"), lambda x: 1 / (1 + F.exp(-2 * x)))
     total = F.aggregate(odds, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(odds, lambda x: x / total)
+    return padded(F.transform(odds, lambda x: x / total))
 
 
 def predict_class(model, df: DataFrame, name: str) -> DataFrame:
@@ -193,7 +198,7 @@ def risk_scores(classified: DataFrame) -> DataFrame:
         "zone",
         "date",
         m.risk_label(F.col("p")).alias("risk_label"),
-        F.map_from_arrays(names, F.slice(chances, 1, len(fixed.RISK_LABELS))).alias("probabilities"),
+        F.map_from_arrays(names, chances).alias("probabilities"),
     )
 
 
