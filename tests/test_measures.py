@@ -5,7 +5,7 @@ from helpers import make_panel, month, series
 from pyspark.sql import functions as F
 
 from zonalis.functions import measures as m
-from zonalis.operators import calendar, evaluation, features, selection, summaries, timeseries
+from zonalis.operators import blocks, calendar, evaluation, features, selection, summaries, timeseries
 
 
 def test_risk_bins_are_right_closed(spark):
@@ -179,3 +179,17 @@ def test_features_do_not_depend_on_row_order(spark):
     a = features.engineer(panel).select("zone", "date", "gw_lag_12", "rain_roll_mean_6").collect()
     b = features.engineer(shuffled).select("zone", "date", "gw_lag_12", "rain_roll_mean_6").collect()
     assert sorted(a) == sorted(b) and len(a) == 3 * 18
+
+
+def test_blocks_give_the_same_rows_for_one_long_series(spark):
+    panel = make_panel(spark, zones=1, months=200).union(make_panel(spark, zones=3, months=9).filter("zone <> 'Zone 0'"))
+    whole = features.add_window_features(panel).collect()
+    cut = blocks.window_features(panel, block_rows=12)
+    assert sorted(cut.select(*whole[0].asDict()).collect(), key=str) == sorted(whole, key=str)
+    ahead = lambda df, keys=features.SERIES: df.withColumn(
+        "next", F.lead("groundwater_level", 3).over(features.series(keys))
+    )
+    got = blocks.on_blocks(panel, ahead, before=0, after=3, block_rows=7).select("zone", "date", "next").collect()
+    assert sorted(got, key=str) == sorted(ahead(panel).select("zone", "date", "next").collect(), key=str)
+    with pytest.raises(ValueError):
+        blocks.on_blocks(panel, ahead, before=0, after=30, block_rows=7)

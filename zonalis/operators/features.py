@@ -154,18 +154,25 @@ def feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in NOT_FEATURES]
 
 
-def engineer(panel: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:
+def add_window_features(panel: DataFrame, keys=SERIES) -> DataFrame:
+    """Lags, trailing means and trailing std: one shuffle and one sort."""
+    return add_trailing_std(add_trailing_means(add_lags(panel, keys), keys), keys)
+
+
+def engineer(
+    panel: DataFrame, fit_on: DataFrame | None = None, windows=add_window_features
+) -> DataFrame:
     """The whole feature chain; rows without a full history are dropped.
 
+    For series that are too long for one task pass ``windows=blocks.window_features``.
+
     ``zone`` stays a column and its one-hot form is made at model assembly, so the schema
     does not depend on the data.
     """
     return (
         panel.transform(encode_soil)
         .transform(add_calendar)
-        .transform(add_lags)
-        .transform(add_trailing_means)
-        .transform(add_trailing_std)
+        .transform(windows)
         .transform(add_drought, fit_on)
         .transform(add_urbanization, fit_on)
         .transform(drop_incomplete)

@@ -7,6 +7,8 @@ equations per series, one small matrix at a time. As in the modelled process the
 constant term.
 """
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -24,53 +26,60 @@ MAX_P, MAX_Q = max(fixed.ARIMA_P), max(fixed.ARIMA_Q)
 LEVEL = fixed.TARGET
 
 
-def _products(columns: list[Column], when: Column) -> Column:
-    """Upper triangle of the sum of outer products, row by row."""
-    return F.array(
-        *[F.sum(F.when(when, columns[i] * columns[j])) for i in range(len(columns)) for j in range(i, len(columns))]
-    )
+def _products(columns: list[Column]) -> Column:
+    """Upper triangle of the sum of outer products; rows with a null in a pair add nothing."""
+    size = len(columns)
+    return F.array(*[F.sum(columns[i] * columns[j]) for i in range(size) for j in range(i, size)])
 
 
-def _square(triangle, size: int) -> np.ndarray:
-    full = np.zeros((size, size))
-    full[np.triu_indices(size)] = np.asarray(triangle, dtype=np.float64)
-    return full + np.triu(full, 1).T
+def _squares(triangles: pd.Series, size: int) -> np.ndarray:
+    """Symmetric matrices from their upper triangles, nan where a triangle is unknown."""
+    rows, columns = np.triu_indices(size)
+    blank = np.full(len(rows), np.nan)
+    stacked = np.array(
+        [blank if t is None else np.asarray(t, dtype=np.float64) for t in triangles]
+    ).reshape(-1, len(rows))
+    full = np.zeros((len(stacked), size, size))
+    full[:, rows, columns] = stacked
+    full[:, columns, rows] = stacked
+    return full
 
 
-def _solve(gram: np.ndarray, used: list[int]) -> tuple[np.ndarray, float]:
-    """Least squares of variable 0 on the used ones, with its squared error."""
-    moments = gram[used, 0]
-    weights = np.linalg.lstsq(gram[np.ix_(used, used)], moments, rcond=None)[0] if used else np.zeros(0)
-    return weights, float(gram[0, 0] - weights @ moments)
+def _solve(grams: np.ndarray, used: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Least squares of variable 0 on the used ones for a stack of sums, with squared errors."""
+    moments = grams[:, used, 0]
+    inverse = np.linalg.pinv(grams[:, used][:, :, used], hermitian=True)
+    weights = (inverse @ moments[:, :, None])[:, :, 0]
+    return weights, grams[:, 0, 0] - (weights * moments).sum(axis=1)
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def long_weights(gram: pd.Series) -> pd.Series:
     size = LONG_LAGS + 1
-    lags = list(range(1, size))
-    solved = [
-        None if g is None or any(x is None or np.isnan(x) for x in g) else _solve(_square(g, size), lags)[0]
-        for g in gram
-    ]
-    return pd.Series(solved, index=gram.index, dtype=object)
+    grams = _squares(gram, size)
+    known = ~np.isnan(grams).any(axis=(1, 2))
+    weights = np.zeros((len(gram), LONG_LAGS))
+    weights[known], _ = _solve(grams[known], list(range(1, size)))
+    return pd.Series([w if k else None for w, k in zip(weights, known)], index=gram.index, dtype=object)
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def order_weights(gram: pd.Series, p: pd.Series, q: pd.Series) -> pd.Series:
     """Squared error, then the level weights and the residual weights, zero beyond the order."""
     size = 1 + MAX_P + MAX_Q
-    out = []
-    for g, ar, ma in zip(gram, p, q):
-        if g is None or any(x is None or np.isnan(x) for x in g):
-            out.append(None)
-            continue
-        used = [*range(1, 1 + ar), *range(1 + MAX_P, 1 + MAX_P + ma)]
-        weights, error = _solve(_square(g, size), used)
-        padded = np.zeros(size)
-        padded[0] = error
-        padded[used] = weights
-        out.append(padded)
-    return pd.Series(out, index=gram.index, dtype=object)
+    grams = _squares(gram, size)
+    known = ~np.isnan(grams).any(axis=(1, 2))
+    solved = np.zeros((len(gram), size))
+    for ar in set(p):
+        for ma in set(q):
+            rows = np.flatnonzero(known & (p == ar).to_numpy() & (q == ma).to_numpy())
+            used = [*range(1, 1 + ar), *range(1 + MAX_P, 1 + MAX_P + ma)]
+            if len(rows) and used:
+                weights, solved[rows, 0] = _solve(grams[rows], used)
+                solved[np.ix_(rows, used)] = weights
+            elif len(rows):
+                solved[rows, 0] = grams[rows, 0, 0]
+    return pd.Series([w if k else None for w, k in zip(solved, known)], index=gram.index, dtype=object)
 
 
 def regular_series(panel: DataFrame) -> DataFrame:
@@ -82,15 +91,14 @@ def _differenced(regular: DataFrame) -> DataFrame:
     """Both difference orders with their long lags, from one shuffle by zone."""
     zone = Window.partitionBy("zone").orderBy("date")
     step = F.col(LEVEL) - F.lag(LEVEL).over(zone)
-    both = regular.withColumn("w0", F.col(LEVEL)).withColumn("w1", step)
+    both = regular.withColumns({"w0": F.col(LEVEL), "w1": step})
+    lags = range(1, LONG_LAGS + 1)
     lagged = both.select(
-        "*", *[F.lag(w, k).over(zone).alias(f"{w}_{k}") for w in ["w0", "w1"] for k in range(1, LONG_LAGS + 1)]
+        "*", *[F.lag(w, k).over(zone).alias(f"{w}_{k}") for w in ["w0", "w1"] for k in lags]
     )
     forms = [
         F.struct(
-            F.lit(d).alias("d"),
-            F.col(f"w{d}").alias("w"),
-            F.array(*[F.col(f"w{d}_{k}") for k in range(1, LONG_LAGS + 1)]).alias("past"),
+            F.lit(d).alias("d"), F.col(f"w{d}").alias("w"), *[F.col(f"w{d}_{k}").alias(f"l{k}") for k in lags]
         )
         for d in fixed.ARIMA_D
     ]
@@ -106,25 +114,27 @@ def candidate_fits(regular: DataFrame) -> DataFrame:
     compared on the same rows, so their AICs are comparable across difference orders.
     """
     rows = _differenced(regular).filter(F.col("row_in_series") <= F.col("fit_rows"))
-    past = [F.col("past")[k] for k in range(LONG_LAGS)]
-    complete = past[-1].isNotNull()
-    first = rows.groupBy("zone", "d").agg(_products([F.col("w"), *past], complete).alias("gram"))
-    long_fit = first.select("zone", "d", long_weights("gram").alias("long"))
-    predicted = F.aggregate(
-        F.zip_with("long", "past", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x
+    past = [F.col(f"l{k}") for k in range(1, LONG_LAGS + 1)]
+    first = (
+        rows.filter(past[-1].isNotNull()).groupBy("zone", "d").agg(_products([F.col("w"), *past]).alias("gram"))
     )
-    residuals = rows.join(long_fit, ["zone", "d"]).withColumn("e", F.col("w") - predicted)
+    long_fit = first.select("zone", "d", long_weights("gram").alias("long"))
+    predicted = reduce(lambda a, b: a + b, [F.col("long")[k] * lag for k, lag in enumerate(past)])
+    # series without a full set of lags have no long fit and keep null residuals
+    residuals = rows.join(long_fit, ["zone", "d"], "left").withColumn("e", F.col("w") - predicted)
     ordered = Window.partitionBy("zone", "d").orderBy("date")
     lags = residuals.select(
         "*",
         *[F.lag("e", k).over(ordered).alias(f"e{k}") for k in range(1, MAX_Q + 1)],
         F.lag("w", 1).over(ordered).alias("w_before"),
     )
-    variables = [F.col("w"), *past[:MAX_P], *[F.col(f"e{k}") for k in range(1, MAX_Q + 1)]]
     # the trim of the highest difference order, for both
     usable = F.col(f"e{MAX_Q}").isNotNull() & (
         F.col("row_in_series") > LONG_LAGS + MAX_Q + max(fixed.ARIMA_D)
     )
+    names = ["w", *[f"l{k}" for k in range(1, MAX_P + 1)], *[f"e{k}" for k in range(1, MAX_Q + 1)]]
+    lags = lags.select("*", *[F.when(usable, F.col(c)).alias(f"fit_{c}") for c in names])
+    variables = [F.col(f"fit_{c}") for c in names]
     state = F.struct(
         F.col(LEVEL).alias("x"),
         F.col("w").alias("w1"),
@@ -134,8 +144,8 @@ def candidate_fits(regular: DataFrame) -> DataFrame:
         F.col("date").alias("last_date"),
     )
     second = lags.groupBy("zone", "d").agg(
-        F.count(F.when(usable, 1)).alias("n"),
-        _products(variables, usable).alias("gram"),
+        F.count("fit_w").alias("n"),
+        _products(variables).alias("gram"),
         F.max_by(state, "date").alias("state"),
     )
     orders = [(p, q) for p in fixed.ARIMA_P for q in fixed.ARIMA_Q]

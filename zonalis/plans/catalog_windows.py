@@ -6,6 +6,7 @@ from zonalis.functions import fixed
 from zonalis.functions import measures as m
 from zonalis.operators import (
     anomaly,
+    blocks,
     calendar,
     explain,
     features,
@@ -63,6 +64,12 @@ def engineer_features(spark, sf_dir):
     return shown(rows, 6, "month_sin", "month_cos", *MEANS, *STDS, "spi", "urbanization_index")
 
 
+def blocked_features(spark, sf_dir):
+    """The window features with every series cut into blocks of 40 rows."""
+    rows = blocks.window_features(customer_panel(spark, sf_dir), 40).select("zone", "date", *LAGS, *MEANS, *STDS)
+    return shown(rows, 6, *MEANS, *STDS)
+
+
 def rolling_zscore(spark, sf_dir):
     rows = timeseries.rolling_zscore(customer_panel(spark, sf_dir).select(*LEVEL_KEYS), THRESHOLD)
     return shown(rows, 6, "gw_rolling_mean", "gw_rolling_std", "z_score")
@@ -224,12 +231,17 @@ def idw_grid(spark, sf_dir):
 
 
 def idw_exact(spark, sf_dir):
-    """A grid of step 0.05 over positions on whole numbers: stations hit cells."""
+    """A grid of step 0.05 over positions on whole numbers: stations hit cells.
+
+    A hit shows a mean as it is, and a mean of 80 readings can end in a 5 at the digit that
+    is rounded; station values are therefore fixed at nine digits in both engines.
+    """
     points = zone_panel(spark, sf_dir).groupBy("zone").agg(
         F.rint(F.min("longitude") * 20).alias("longitude"),
         F.rint(F.min("latitude") * 20).alias("latitude"),
         F.avg("groundwater_level").alias("gw_level"),
     )
+    points = shown(points, 9, "gw_level")
     return shown(spatial.interpolate(stage(points), "gw_level", cells=103), 6, "value")
 
 
@@ -250,6 +262,7 @@ QUERIES = {
         rolling_std,
         drought_index,
         engineer_features,
+        blocked_features,
         rolling_zscore,
         rolling_zscore_prior,
         anomaly_rows,
@@ -389,7 +402,7 @@ _POINTS = f"""points AS (SELECT zone, min(longitude) AS x, min(latitude) AS y, a
   avg(rainfall_mm) AS rainfall, avg(urban_fraction) AS urban_frac FROM panel
   WHERE year(date) = {YEAR} GROUP BY zone)"""
 _COARSE = """points AS (SELECT zone, round_even(min(longitude) * 20, 0) AS x, round_even(min(latitude) * 20, 0) AS y,
-  avg(groundwater_level) AS v FROM panel GROUP BY zone)"""
+  round(avg(groundwater_level), 9) AS v FROM panel GROUP BY zone)"""
 
 
 def _mesh(cells: int) -> str:
@@ -430,6 +443,9 @@ ORACLE = {
         _MONTHS,
         "ends AS (SELECT min(population_density) AS lo, max(population_density) AS hi FROM customers)",
     ),
+    "blocked_features": over_customers(
+        f"SELECT zone, date, {_LAG_SQL}, {_MEAN_SQL}, {_STD_SQL} FROM customers"
+    ),
     "rolling_zscore": over_customers(
         f"""SELECT zone, date, groundwater_level, {r('mu', 6)} AS gw_rolling_mean, {r('sd', 6)} AS gw_rolling_std,
         {r('z', 6)} AS z_score, flag AS z_anomaly FROM flagged""",
