@@ -1,7 +1,7 @@
 from helpers import make_panel
 
 from zonalis.operators import selection
-from zonalis.session import fresh_path, shared_dir, stage
+from zonalis.session import drop_staged, fresh_path, shared_dir, stage
 from zonalis.sources import panel as io
 from zonalis.sources import tables
 
@@ -47,3 +47,9 @@ def test_panel_reads_the_tables_once(spark):
 def test_staged_rows_are_in_the_shared_folder(spark):
     staged = stage(make_panel(spark, zones=1, months=3))
     assert shared_dir(spark).split("://")[-1] in staged.inputFiles()[0]
+
+
+def test_staged_rows_can_be_dropped(spark):
+    path = stage(make_panel(spark, zones=1, months=3)).inputFiles()[0].rsplit("/", 1)[0]
+    assert io._exists(spark, path) and drop_staged(spark) >= 1
+    assert not io._exists(spark, path) and drop_staged(spark) == 0

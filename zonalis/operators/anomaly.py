@@ -18,7 +18,7 @@ NODE_SCHEMA = "tree int, node int, feature int, cut double, left int, right int,
 
 def _uniform(*parts):
     """A number in [0, 1) from a hash of the row, so reruns and retries agree."""
-    return F.pmod(F.xxhash64(*parts), F.lit(1 << 40)) / float(1 << 40)
+    return F.pmod(F.xxhash64(*parts), F.lit(1 << 52)) / float(1 << 52)
 
 
 def tree_samples(

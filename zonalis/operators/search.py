@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
 from zonalis.operators import evaluation, models
-from zonalis.operators.selection import date_ranks, stratified_folds
+from zonalis.operators.selection import stratified_folds, with_date_ranks
 
 
 def draw(grid: dict[str, list], draws: int, seed: int = fixed.SEED) -> list[dict]:
@@ -64,7 +64,7 @@ def search_regressor(
 ) -> list[dict]:
     """Mean RMSE over expanding-window folds for each drawn setting."""
     # one copy of the rows with their date rank; a fold is a rank filter on it
-    ranked = train.join(date_ranks(train), "date").persist()
+    ranked = with_date_ranks(train).persist()
     dates = ranked.first()["n_dates"]
     size = dates // (folds + 1)
     settings = draw(grid or REGRESSORS[name], draws)

@@ -87,9 +87,14 @@ def date_ranks(df: DataFrame) -> DataFrame:
     )
 
 
+def with_date_ranks(df: DataFrame) -> DataFrame:
+    # one small row per calendar date, so the side is bounded whatever the table holds
+    return df.join(F.broadcast(date_ranks(df)), "date")
+
+
 def expanding_folds(df: DataFrame, folds: int = 5) -> DataFrame:
     """Rows of each expanding fold by date: every earlier date trains, the next block tests."""
-    ranked = df.join(date_ranks(df), "date")
+    ranked = with_date_ranks(df)
     size = F.floor(F.col("n_dates") / (folds + 1)).cast("int")
     fold = F.explode(F.sequence(F.lit(1), F.lit(folds)))
     start = F.col("n_dates") - (folds - F.col("fold") + 1) * size

@@ -42,12 +42,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_STAGED: dict[str, list[str]] = {}
+
+
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     """Write once to the shared folder and read back.
 
     Used where several passes follow: later passes prune columns and push filters into
     the Parquet scan, and a lost executor costs a re-read instead of the whole lineage.
     """
-    path = fresh_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession) -> int:
+    """Delete what this application staged, once no result needs it any more."""
+    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
