@@ -195,12 +195,16 @@ def direct_multistep(spark, sf_dir):
 
 
 def regression_job(spark, sf_dir):
-    board = jobs.train_regressors(zone_panel(spark, sf_dir), jobs.QUICK, fresh_path(spark, "models"))
+    table = _tables(spark, sf_dir)
+    board = jobs.train_regressors(table, jobs.QUICK, fresh_path(spark, "models"))
+    jobs.release(table)
     return shown(board, 6, "RMSE", "MAE", "R2")
 
 
 def classification_job(spark, sf_dir):
-    board = jobs.train_classifiers(zone_panel(spark, sf_dir), jobs.QUICK, fresh_path(spark, "models"))
+    table = _tables(spark, sf_dir)
+    board = jobs.train_classifiers(table, jobs.QUICK, fresh_path(spark, "models"))
+    jobs.release(table)
     return shown(board, 6, "precision", "recall", "f1")
 
 

@@ -36,7 +36,7 @@ QUICK = {
         },
         "Gradient_Boosting": {"maxIter": [8], "maxDepth": [3]},
         "RF_Classifier": {"numTrees": [20], "maxDepth": [6]},
-        "XGB_Classifier": {"maxIter": [4], "maxDepth": [3]},
+        "XGB_Classifier": {"maxIter": [3], "maxDepth": [2]},
     },
 }
 
@@ -54,15 +54,23 @@ def model_table(panel: DataFrame):
     return prep, models.prepared(train, prep).persist(), models.prepared(test, prep).persist()
 
 
+def release(table) -> None:
+    for rows in table[1:]:
+        rows.unpersist()
+
+
 def _search(kind, name, train, effort, default_draws):
     run = search.search_regressor if kind == "regressor" else search.search_classifier
     grid = effort["grids"].get(name)
     return run(name, train, effort["draws"] or default_draws, effort["folds"], grid)
 
 
-def train_regressors(panel: DataFrame, effort=FULL, model_dir: str | None = None):
-    """Search, refit on all training rows, score the held-out years, rank; the best is saved."""
-    prep, train, test = model_table(panel)
+def train_regressors(table, effort=FULL, model_dir: str | None = None) -> DataFrame:
+    """Search, refit on all training rows, score the held-out years, rank; the best is saved.
+
+    ``table`` is the result of ``model_table``.
+    """
+    prep, train, test = table
     fitted, metrics = {}, []
     for name in search.REGRESSORS:
         tried = _search("regressor", name, train, effort, fixed.REGRESSION_DRAWS)
@@ -77,14 +85,12 @@ def train_regressors(panel: DataFrame, effort=FULL, model_dir: str | None = None
             io.save_model(models.with_model(prep, model), f"{model_dir}/{name}")
         io.save_model(models.with_model(prep, fitted[winner]), f"{model_dir}/best_regressor")
         io.write_metrics(board, f"{model_dir}/model_comparison")
-    train.unpersist()
-    test.unpersist()
     return board
 
 
-def train_classifiers(panel: DataFrame, effort=FULL, model_dir: str | None = None):
+def train_classifiers(table, effort=FULL, model_dir: str | None = None) -> DataFrame:
     """Search by macro F1 on stratified folds, refit, report the held-out years by class."""
-    prep, train, test = model_table(panel)
+    prep, train, test = table
     fitted, reports = {}, []
     for name in search.CLASSIFIERS:
         tried = _search("classifier", name, train, effort, fixed.CLASSIFICATION_DRAWS)
@@ -101,8 +107,6 @@ def train_classifiers(panel: DataFrame, effort=FULL, model_dir: str | None = Non
         for name, model in fitted.items():
             io.save_model(models.with_model(prep, model), f"{model_dir}/CLS_{name}")
         io.save_model(models.with_model(prep, fitted[best_name]), f"{model_dir}/best_classifier")
-    train.unpersist()
-    test.unpersist()
     return board
 
 
@@ -146,16 +150,20 @@ def run_all(
         )
 
     out = []
+    learns = {"regressors", "classifiers"} & set(steps)
+    table = model_table(panel) if learns else None
     if "regressors" in steps:
-        out.append(rows("regressors", train_regressors(panel, effort), "model", ["RMSE", "MAE", "R2"]))
+        out.append(rows("regressors", train_regressors(table, effort), "model", ["RMSE", "MAE", "R2"]))
     if "sequences" in steps:
         scored = models.direct_multistep(chosen).withColumn("model", F.concat(F.lit("step "), "step"))
         out.append(rows("sequences", evaluation.regression_metrics(scored), "model", ["RMSE", "MAE", "R2"]))
     if "arima" in steps:
         out.append(rows("arima", forecasting.backtest_metrics(chosen), "model", ["RMSE", "MAE", "R2"]))
     if "classifiers" in steps:
-        board = train_classifiers(panel, effort).filter("label = 'macro avg'")
+        board = train_classifiers(table, effort).filter("label = 'macro avg'")
         out.append(rows("classifiers", board, "model", ["f1"]))
+    if table:
+        release(table)
     if "advanced" in steps:
         small = {"trees": 20, "depth": 6} if effort is QUICK else {}
         out.append(rows("hybrid", hybrid_metrics(panel, **small), "model", ["RMSE", "MAE", "R2"]))
