@@ -1,9 +1,10 @@
 """Registered queries: fitted models, forests, forecasts and whole jobs.
 
-Fits have no SQL counterpart, so these are checked by tests on learnable data. They run on
+Most fits have no SQL counterpart, so these are checked by tests on learnable data. They run on
 the whole nation panel, with small search grids (``jobs.QUICK``) where a search is needed.
 """
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
@@ -17,7 +18,9 @@ from zonalis.operators import (
     whatif,
 )
 from zonalis.plans import jobs
-from zonalis.plans.base import shown
+from zonalis.plans.base import over_customers, over_panel, r, shown
+from zonalis.plans.catalog_scalar import W
+from zonalis.plans.catalog_windows import FILLED
 from zonalis.session import fresh_path, stage
 from zonalis.sources import panel as io
 from zonalis.sources.tables import customer_panel, event_series, zone_panel
@@ -59,6 +62,19 @@ def ridge_eval(spark, sf_dir):
     return _regressor(spark, sf_dir, "Ridge_Regression", lambda train: models.ridge(train, 1.0))
 
 
+def ridge_coefficients(spark, sf_dir):
+    """Weights of level on rain and temperature over the whole panel for every penalty."""
+    columns = ["rainfall_mm", "temperature_c"]
+    rows = customer_panel(spark, sf_dir).select(F.col("groundwater_level").alias("y"), *columns)
+    table = stage(VectorAssembler(inputCols=columns, outputCol="features").transform(rows).select("y", "features"))
+    fits = []
+    for alpha in fixed.RIDGE_ALPHAS:
+        model = models.ridge(table, alpha).fit(table)
+        fits.append((alpha, *(float(w) for w in model.coefficients), float(model.intercept)))
+    out = spark.createDataFrame(fits, "alpha double, rain_weight double, temp_weight double, intercept double")
+    return shown(out, 6, "rain_weight", "temp_weight", "intercept")
+
+
 def rf_eval(spark, sf_dir):
     return _regressor(spark, sf_dir, "Random_Forest", lambda _: models.forest_regressor(**FOREST))
 
@@ -121,7 +137,7 @@ def model_roundtrip(spark, sf_dir):
     before = model.transform(test).select("zone", "date", F.col("prediction").alias("before"))
     after = io.load_model(path).transform(test).select("zone", "date", F.col("prediction").alias("after"))
     both = before.join(after, ["zone", "date"])
-    return both.withColumn("same", (F.col("before") == F.col("after")).cast("int"))
+    return both.select("zone", "date", (F.col("before") == F.col("after")).cast("int").alias("same"))
 
 
 def risk_scoring(spark, sf_dir):
@@ -181,6 +197,14 @@ def arima_order(spark, sf_dir):
     return shown(forecasting.select_orders(customer_panel(spark, sf_dir)), 6, "aic")
 
 
+def arima_ar_fits(spark, sf_dir):
+    """The grid's candidates without residual terms and with at most one lag."""
+    regular = forecasting.regular_series(zone_panel(spark, sf_dir)).withColumn("fit_rows", F.col("series_rows"))
+    fits = forecasting.candidate_fits(regular).filter("q = 0 and p <= 1")
+    weight = F.when(F.col("p") == 1, F.col("weights")[1])
+    return shown(fits.select("zone", "p", "d", "q", "n", "aic", weight.alias("weight")), 6, "aic", "weight")
+
+
 def arima_eval(spark, sf_dir):
     return shown(forecasting.backtest_metrics(zone_panel(spark, sf_dir)), 6, "RMSE", "MAE", "R2")
 
@@ -216,6 +240,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         ridge_eval,
+        ridge_coefficients,
         rf_eval,
         gbt_eval,
         gbt_colsample_eval,
@@ -234,6 +259,7 @@ QUERIES = {
         anomaly_combined,
         anomaly_report,
         arima_order,
+        arima_ar_fits,
         arima_eval,
         arima_future,
         direct_multistep,
@@ -243,4 +269,35 @@ QUERIES = {
     ]
 }
 
-ORACLE = {}
+ORACLE = {
+    "model_roundtrip": over_panel(
+        """SELECT zone, date, 1 AS same FROM kept, (SELECT max(date) - INTERVAL 3 YEAR AS edge FROM kept)
+        WHERE date > edge""",
+        f"""ranked AS (SELECT zone, date, risk_level, row_number() OVER {W} AS rn FROM panel),
+        kept AS (SELECT zone, date FROM ranked WHERE rn > 12 AND risk_level IS NOT NULL)""",
+    ),
+    "ridge_coefficients": over_customers(
+        f"""SELECT alpha, {r('w1', 6)} AS rain_weight, {r('w2', 6)} AS temp_weight,
+        {r('my - w1 * m1 - w2 * m2', 6)} AS intercept
+        FROM (SELECT *, ((s22 + alpha) * b1 - s12 * b2) / det AS w1, ((s11 + alpha) * b2 - s12 * b1) / det AS w2
+          FROM (SELECT *, (s11 + alpha) * (s22 + alpha) - s12 * s12 AS det
+            FROM sums, (SELECT unnest([0.1e0, 1e0, 10e0, 100e0]) AS alpha)))""",
+        """sums AS (SELECT avg(rainfall_mm) AS m1, avg(temperature_c) AS m2, avg(groundwater_level) AS my,
+        var_pop(rainfall_mm) * count(*) AS s11, var_pop(temperature_c) * count(*) AS s22,
+        covar_pop(rainfall_mm, temperature_c) * count(*) AS s12,
+        covar_pop(rainfall_mm, groundwater_level) * count(*) AS b1,
+        covar_pop(temperature_c, groundwater_level) * count(*) AS b2 FROM customers)""",
+    ),
+    "arima_ar_fits": over_panel(
+        f"""SELECT zone, 0 AS p, 1 AS d, 0 AS q, n, {r('n * ln(ww / n) + 2', 6)} AS aic, NULL AS weight
+        FROM sums WHERE d = 1 UNION ALL
+        SELECT zone, 1, d, 0, n, {r('n * ln((ww - c * c / v) / n) + 4', 6)}, {r('c / v', 6)} FROM sums""",
+        "kept AS (SELECT zone, date, groundwater_level AS v FROM panel)",
+        FILLED,
+        f"""numbered AS (SELECT zone, date, x, x - lag(x) OVER {W} AS dx, row_number() OVER {W} AS rn FROM filled),
+        pairs AS (SELECT zone, 0 AS d, rn, x AS w, lag(x) OVER {W} AS w1 FROM numbered
+          UNION ALL SELECT zone, 1, rn, dx, lag(dx) OVER {W} FROM numbered),
+        sums AS (SELECT zone, d, count(*) AS n, sum(w * w) AS ww, sum(w * w1) AS c, sum(w1 * w1) AS v
+          FROM pairs WHERE rn >= 10 GROUP BY 1, 2)""",
+    ),
+}

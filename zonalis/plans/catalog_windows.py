@@ -331,9 +331,9 @@ def _zscore(source: str, frame: str, threshold: float) -> str:
     flagged AS (SELECT *, coalesce(cast(abs(z) > {threshold}e0 AS integer), 0) AS flag FROM scored)"""
 
 
-_GAPS = """kept AS (SELECT zone, date, CASE WHEN (year(date) * 12 + month(date) - 1) % 7 > 2
-    THEN groundwater_level END AS v FROM customers WHERE (year(date) * 12 + month(date) - 1) % 7 <> 0),
-  spine AS (SELECT zone, cast(unnest(generate_series(min(date), max(date), INTERVAL 1 MONTH)) AS date) AS date
+_KEPT = """kept AS (SELECT zone, date, CASE WHEN (year(date) * 12 + month(date) - 1) % 7 > 2
+    THEN groundwater_level END AS v FROM customers WHERE (year(date) * 12 + month(date) - 1) % 7 <> 0)"""
+FILLED = """spine AS (SELECT zone, cast(unnest(generate_series(min(date), max(date), INTERVAL 1 MONTH)) AS date) AS date
     FROM kept GROUP BY zone),
   grid AS (SELECT s.zone, s.date, v, year(s.date) * 12 + month(s.date) - 1 AS t, k.date IS NULL AS gap
     FROM spine s LEFT JOIN kept k ON s.zone = k.zone AND s.date = k.date),
@@ -341,7 +341,9 @@ _GAPS = """kept AS (SELECT zone, date, CASE WHEN (year(date) * 12 + month(date)
       IGNORE NULLS) OVER before AS t0, first_value(v IGNORE NULLS) OVER after AS v1,
       first_value(CASE WHEN v IS NOT NULL THEN t END IGNORE NULLS) OVER after AS t1 FROM grid
     WINDOW before AS (PARTITION BY zone ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-      after AS (PARTITION BY zone ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))"""
+      after AS (PARTITION BY zone ORDER BY date ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+  filled AS (SELECT zone, date, CASE WHEN v IS NOT NULL THEN v WHEN v0 IS NULL THEN NULL WHEN v1 IS NULL THEN v0
+    ELSE v0 + (v1 - v0) * (t - t0) / (t1 - t0) END AS x, cast(v IS NULL AS integer) AS filled FROM sides)"""
 
 _COVARIATES = ", ".join(fixed.SEQUENCE_COVARIATES)
 _EXPAND = """ranked AS (SELECT zone, date, dense_rank() OVER (ORDER BY date) - 1 AS pos FROM customers),
@@ -465,10 +467,7 @@ ORACLE = {
         _zscore("customers", "5 PRECEDING AND CURRENT ROW", THRESHOLD),
     ),
     "gap_fill": over_customers(
-        f"""SELECT zone, date, {r('''CASE WHEN v IS NOT NULL THEN v WHEN v0 IS NULL THEN NULL WHEN v1 IS NULL THEN v0
-        ELSE v0 + (v1 - v0) * (t - t0) / (t1 - t0) END''', 6)} AS groundwater_level,
-        cast(v IS NULL AS integer) AS filled FROM sides""",
-        _GAPS,
+        f"SELECT zone, date, {r('x', 6)} AS groundwater_level, filled FROM filled", _KEPT, FILLED
     ),
     "sequence_windows": over_panel(
         f"""SELECT w.zone, w.date, cast(11 - back AS integer) AS step, {', '.join('h.' + c for c in fixed.SEQUENCE_COVARIATES)},
