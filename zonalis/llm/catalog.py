@@ -1,10 +1,15 @@
 """Queries of the corpus operators with their SQL counterparts."""
 
-from zonalis.llm import bpe, chat, quality
+from zonalis.llm import bpe, chat, kneser_ney, language, ngram_join, quality, toxicity
 
 QUERIES = {
     "op2_chat": chat.op2_chat,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
+    "op4_toxicity": toxicity.op4_toxicity,
+    "op5_language_model": kneser_ney.op5_language_model,
     "op6_bpe": bpe.op6_bpe,
+    "op8_language": language.op8_language,
     "op10_quality": quality.op10_quality,
+    "pages_language": language.pages_language,
 }
 ORACLE = {"op2_chat": chat.OP2_SQL}

@@ -5,7 +5,8 @@ in UTF-8, equals the same rule on code points. All hashes are 64 bits wide and i
 process, so that they agree between executors.
 """
 
-import zlib
+import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -134,10 +135,55 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) - np.repeat(before - starts, counts)
 
 
-def crc32(data: bytes) -> int:
-    return zlib.crc32(data)
+def mounted(path: str) -> str:
+    """The shared folder as executors open it: memory mapping needs a mounted file system."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme:
+        return path
+    if scheme != "file":
+        raise ValueError(f"{path}: memory-mapped models need a shared folder that is mounted on all machines")
+    return "/" + rest.lstrip("/")
+
+
+def write_array(path: str, values: np.ndarray) -> None:
+    """Write whole or not at all, so that a task that runs twice leaves one good file."""
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    draft = f"{path}.{uuid.uuid4().hex}"
+    with open(draft, "wb") as out:
+        out.write(np.ascontiguousarray(values).data)
+    os.replace(draft, path)
+
+
+def map_array(path: str, dtype: str) -> np.ndarray:
+    if not os.path.exists(path) or not os.path.getsize(path):
+        return np.empty(0, dtype)
+    return np.memmap(path, dtype, mode="r")
 
 
 def hashed_rank(key: str) -> Column:
     """A fixed pseudo-random order of rows; ties go by the key itself."""
     return F.xxhash64(F.lit(17), F.col(key))
+
+
+def sum_vectors(df: DataFrame, key: str, vector: str, dtype: str, fan_in: int = 16) -> DataFrame:
+    """Sum of the packed vectors of each key, in two levels so that no task reads all of them.
+
+    The vectors must be of one length, fixed by the caller; a key's result is as long.
+    """
+    kind = df.schema[key].dataType.simpleString()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, name = None, None
+        for batch in batches:
+            name = batch.column("key")[:1] if len(batch) else name
+            for packed in batch.column("vector"):
+                part = np.frombuffer(packed.as_py(), dtype)
+                total = part.copy() if total is None else total + part
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([name, pa.array([total.tobytes()], pa.binary())], ["key", "vector"])
+
+    shape = f"key {kind}, vector binary"
+    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{vector}`").alias("vector"))
+    salted = rows.withColumn("salt", F.spark_partition_id() % fan_in)
+    some = salted.groupBy("key", "salt").applyInArrow(add, shape)
+    return some.groupBy("key").applyInArrow(add, shape).toDF(key, vector)
