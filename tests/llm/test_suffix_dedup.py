@@ -33,7 +33,7 @@ def plain(rows, length=50):
 
 def found(df, length=50):
     rows = sd.remove_repeats(df, length=length).collect()
-    return sorted([(r[0], bytes(r.kept), [(s.start, s.stop) for s in r.removed]) for r in rows], key=str)
+    return sorted([(r.doc_id, bytes(r.kept), [(s.start, s.stop) for s in r.removed]) for r in rows], key=str)
 
 
 def noise(draw, n, letters="abcdefghij é"):
@@ -69,8 +69,9 @@ def test_periodic_texts_and_other_lengths(spark):
 
 def test_odd_texts(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(50 + i, t) for i, t in enumerate(TEXTS)]
-    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id bigint, text string, bucket int")
+    df = spark.createDataFrame([(i, t, i, i) for i, t in rows], "doc_id bigint, text string, bucket int, kept int")
     assert found(df) == plain(rows)
+    assert all(r.bucket == r.doc_id for r in sd.remove_repeats(df).collect())
     assert sd.remove_repeats(df.limit(0)).count() == 0
     drop_staged(spark)
 

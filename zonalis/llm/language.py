@@ -238,6 +238,14 @@ def kept(threshold: float = 0.5) -> Column:
     return (F.col("language") != UNKNOWN) & (F.col("posterior") >= threshold)
 
 
+def keep_known(df: DataFrame, threshold: float = 0.5, **columns) -> DataFrame:
+    """The rows of a known language, with the columns they came with."""
+    own = [f"c{i}" for i in range(len(df.columns))]
+    places = {k: own[df.columns.index(v)] for k, v in columns.items()}
+    judged = identify(df.toDF(*own), text=own[df.columns.index("text")], **places)
+    return judged.where(kept(threshold)).select(*[F.col(o).alias(c) for o, c in zip(own, df.columns, strict=True)])
+
+
 def page_fields(pages: DataFrame) -> DataFrame:
     """Text, declared language and address parts of raw pages."""
     hidden = r"(?is)<!--.*?-->|<(script|style|noscript)\b.*?</\1\s*>"

@@ -390,11 +390,13 @@ def judge_contexts(sent: DataFrame, length: int) -> DataFrame:
     return sent.groupBy("shard").applyInArrow(judge, VERDICTS)
 
 
-CUT = "id bigint, kept binary, removed array<struct<start:bigint,stop:bigint>>"
+CUT = "kept binary, removed array<struct<start:bigint,stop:bigint>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
 def cut_documents(rows: DataFrame, verdicts: DataFrame, length: int, shards: int) -> DataFrame:
+    """``rest`` (all columns but the text), the kept bytes and the removed spans."""
+
     def cut(docs: pa.Table, told: pa.Table) -> pa.Table:
         data, bounds = flat(docs["text"])
         gone = np.zeros(len(data), bool)
@@ -406,8 +408,7 @@ def cut_documents(rows: DataFrame, verdicts: DataFrame, length: int, shards: int
             order = np.argsort(digest, kind="stable")
             digest, anchor, count, from_run = digest[order], anchor[order], count[order], from_run[order]
             offset = np.cumsum(run) - run  # within a context after taking off its first
-            known = docs["id"].is_valid().to_numpy(zero_copy_only=False) if isinstance(docs["id"], pa.Array) else (
-                docs["id"].is_valid().to_numpy())
+            known = docs["id"].is_valid().to_numpy()
             ids = docs["id"].fill_null(0).to_numpy()
             edge = np.zeros(len(data) + 1, np.int64)
             for part, low, row in contexts(data, bounds, length):
@@ -432,24 +433,32 @@ def cut_documents(rows: DataFrame, verdicts: DataFrame, length: int, shards: int
                 continue
             kept.append(data[a:b][~out].tobytes())
             removed.append([{"start": int(s), "stop": int(e)} for s, e in zip(*runs(out), strict=True)])
-        return pa.table({"id": docs["id"], "kept": pa.array(kept, pa.binary()), "removed": pa.array(removed, _SPANS)})
+        return pa.table({"rest": docs["rest"], "kept": pa.array(kept, pa.binary()), "removed": pa.array(removed, _SPANS)})
 
-    return rows.groupBy("bucket").cogroup(verdicts.groupBy("bucket")).applyInArrow(cut, CUT)
+    shape = f"rest {rows.schema['rest'].dataType.simpleString()}, {CUT}"
+    return rows.groupBy("bucket").cogroup(verdicts.groupBy("bucket")).applyInArrow(cut, shape)
 
 
 def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """``key``, the ``kept`` bytes and the ``removed`` spans (byte offsets) of every row."""
+    """All columns but the text, with the ``kept`` bytes and the ``removed`` spans (byte offsets).
+
+    Columns named ``kept`` or ``removed`` are replaced.
+    """
     if length < GRAM + 2:
         raise ValueError(f"length must be at least {GRAM + 2}")
     spark = df.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     identity = F.col(f"`{key}`").cast("bigint")
     bucket = F.pmod(F.xxhash64(F.coalesce(identity, F.xxhash64(F.col(f"`{text}`")))), F.lit(shards)).cast("int")
-    rows = df.select(bucket.alias("bucket"), identity.alias("id"), F.col(f"`{text}`").alias("text"))
+    others = [c for c in df.columns if c not in (text, "kept", "removed")]
+    rest = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    whole = df.select(bucket.alias("bucket"), identity.alias("id"), F.col(f"`{text}`").alias("text"), rest.alias("rest"))
+    rows = whole.drop("rest")
     anchors = stage(repeated_anchors(rows, length, shards), "anchors")
     sent = send_contexts(rows, anchors, length, shards)
     verdicts = stage(judge_contexts(sent, length), "verdicts")
-    return cut_documents(rows, verdicts, length, shards).withColumnRenamed("id", key)
+    cut = cut_documents(whole, verdicts, length, shards)
+    return cut.select(*[F.col(f"rest.c{i}").alias(c) for i, c in enumerate(others)], "kept", "removed")
 
 
 def op1_suffix_dedup(spark, sf_dir):
