@@ -44,7 +44,8 @@ def test_constant_level_gives_no_z(spark):
 
 def test_prior_window_can_fire_above_the_bound(spark):
     df = series(spark, [5, 5.1, 4.9, 5, 5.1, 4.9, 30])
-    assert timeseries.rolling_zscore(df, 3.0).agg(F.sum("z_anomaly")).first()[0] == 0
+    with pytest.raises(ValueError):
+        timeseries.rolling_zscore(df, 3.0)
     prior = timeseries.rolling_zscore(df, 3.0, prior_only=True).orderBy("date").collect()
     assert prior[-1].z_anomaly == 1
 
@@ -193,3 +194,23 @@ def test_blocks_give_the_same_rows_for_one_long_series(spark):
     assert sorted(got, key=str) == sorted(ahead(panel).select("zone", "date", "next").collect(), key=str)
     with pytest.raises(ValueError):
         blocks.on_blocks(panel, ahead, before=0, after=30, block_rows=7)
+
+
+def test_metrics_leave_out_rows_without_a_value(spark):
+    df = spark.createDataFrame([("m", 1.0, 0.0), ("m", 2.0, 0.0), ("m", None, 1.0), ("m", 1.0, None)], "model string, y double, p double")
+    row = evaluation.regression_metrics(df).first()
+    assert row.n == 2 and row.RMSE == pytest.approx(2.5**0.5) and row.MAE == 1.5
+
+
+def test_stratified_folds_keep_rows_without_a_label(spark):
+    rows = [(f"z{i % 3}", month(i), None if i % 4 == 0 else i % 2) for i in range(24)]
+    folded = selection.stratified_folds(spark.createDataFrame(rows, "zone string, date date, risk_code int"), 3)
+    got = folded.groupBy("risk_code", "fold").count().collect()
+    assert sum(r["count"] for r in got) == 24 and {r.fold for r in got} == {0, 1, 2}
+    assert all(r["count"] == 2 for r in got if r.risk_code is None)
+
+
+def test_one_hot_slots_follow_the_names(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "zone string")
+    got = sorted([(r.zone or "", r.slot, r.slots) for r in features.one_hot_zone(df).collect()], key=str)
+    assert got == [("", None, 3), ("a", 0, 3), ("a", 0, 3), ("b", 1, 3), ("c", 2, 3)]

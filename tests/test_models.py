@@ -53,7 +53,7 @@ def test_regressors_learn(table):
 
 def test_classifiers_learn_and_give_probabilities(table):
     _, train, test = table
-    for name, params in [("Logistic_Regression", {"C": 1.0}), ("XGB_Classifier", {"maxIter": 3, "maxDepth": 2})]:
+    for name, params in [("Logistic_Regression", {"C": 1.0}), ("One_vs_Rest_Boosting", {"maxIter": 3, "maxDepth": 2})]:
         scored = models.predict_class(search.classifier(name, train, params).fit(train), test, name)
         accuracy = scored.agg(F.avg((F.col("y") == F.col("p")).cast("double"))).first()[0]
         assert accuracy > 0.7, name
@@ -104,11 +104,23 @@ def test_saved_pipeline_predicts_the_same(spark):
     assert pick(model) == pick(io.load_model(path))
 
 
-def test_many_zones_are_hashed(spark, monkeypatch):
-    monkeypatch.setattr(models, "MAX_ONE_HOT", 4)
+def test_the_zone_encoding_is_the_one_asked_for(spark):
     train, test = jobs.split_features(make_panel(spark, zones=6, months=72))
-    prep = models.prepare(train)
-    assert prep.transform(test).first()["zone_vector"].size == 4
+    assert models.prepare(train, zone="hash", slots=4).transform(test).first()["zone_vector"].size == 4
+    assert models.prepare(train).transform(test).first()["zone_vector"].size == 7
+    with pytest.raises(ValueError):
+        models.prepare(train, zone="other")
+
+
+def test_a_stored_detector_scores_new_rows(spark):
+    panel = make_panel(spark, zones=3, months=72)
+    path = fresh_path(spark, "detector")
+    anomaly.fit_detector(panel, path, trees=20)
+    new = panel.filter("zone = 'Zone 1'").withColumn("zone", F.lit("Zone 9"))
+    loaded = anomaly.apply_detector(new, anomaly.load_detector(spark, path))
+    direct = anomaly.isolation_forest(panel, trees=20).filter("zone = 'Zone 1'")
+    pick = lambda df: [(r.iso_score, r.iso_anomaly) for r in df.orderBy("date").collect()]
+    assert pick(loaded) == pick(direct)
 
 
 def test_hybrid_learns(spark):

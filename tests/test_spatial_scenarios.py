@@ -60,9 +60,3 @@ def test_summary_and_map_rows(spark):
 def test_distribution_keeps_empty_labels(spark):
     rows = summaries.risk_distribution(make_panel(spark, zones=1, months=12)).collect()
     assert len(rows) == 3 and sum(r.n for r in rows) == 1 and sum(r.percent for r in rows) == 100.0
-
-
-def test_reindex_fills_with_zero(spark):
-    counts = spark.createDataFrame([("Low", 4)], "label string, n long")
-    got = {r.label: r.n for r in summaries.reindex(counts, "label", ["Low", "High"]).collect()}
-    assert got == {"Low": 4, "High": 0}

@@ -1,8 +1,6 @@
 """Column functions: everything here is a built-in expression, so it stays in codegen."""
 
 import math
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -86,22 +84,6 @@ def spaced(text: Column) -> Column:
     return F.translate(text, "_", " ")
 
 
-def compound_growth(base: Column, rate: Column, years: Column) -> Column:
-    return base * F.exp(rate * years / 5)
-
-
-def capped_trend(base: Column, rate: Column, years: Column) -> Column:
-    return bounded(base + rate * years / 4, 0, 1)
-
-
-def evapotranspiration_proxy(temperature: Column) -> Column:
-    return temperature * 0.6
-
-
-def ndvi_proxy(urban: Column) -> Column:
-    return bounded(0.55 - urban * 0.3, 0, 1)
-
-
 def darcy_recharge(rain: Column, permeability: Column, urban: Column) -> Column:
     flow = (1 - urban) * permeability * rain * 0.01
     return F.when(flow < 0, F.lit(0.0)).otherwise(flow)
@@ -127,7 +109,3 @@ def gauge_colour(share: Column) -> Column:
 def month_index(date: Column) -> Column:
     """Months since year 0: consecutive months differ by one."""
     return F.year(date) * 12 + F.month(date) - 1
-
-
-def all_present(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"`{c}`").isNotNull() for c in columns])

@@ -1,10 +1,11 @@
 """Isolation forest, combined flags and anomaly reports."""
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,13 +154,56 @@ def isolation_forest(
     return scored.withColumn("iso_anomaly", (F.col("iso_score") > edge).cast("int"))
 
 
-def detect(df: DataFrame, threshold: float = 3.0, **forest) -> DataFrame:
+@dataclass(frozen=True)
+class Detector:
+    """A fitted forest with the score above which a row is an anomaly."""
+
+    nodes: DataFrame
+    features: list[str]
+    sample_rows: int
+    edge: float
+
+
+def fit_detector(
+    df: DataFrame,
+    path: str,
+    features: list[str] = fixed.ANOMALY_FEATURES,
+    contamination: float = fixed.CONTAMINATION,
+    trees: int = fixed.FOREST_TREES,
+    sample: int = fixed.FOREST_SAMPLE,
+    seed: int = fixed.SEED,
+) -> Detector:
+    """Fit on all rows, keep the trees and the edge under ``path``, and load them from there."""
+    spark = df.sparkSession
+    grow_trees(tree_samples(df, features, trees, sample, seed), features, seed).write.parquet(f"{path}/nodes")
+    nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes")
+    sample_rows = min(sample, df.count())
+    scored = stage(score_rows(df.select(*features), nodes, features, sample_rows), "scored")
+    edge = exact_quantiles(scored, ["iso_score"], [1.0 - contamination]).first()
+    facts = [(list(features), sample_rows, edge["quantile"] if edge else None)]
+    spark.createDataFrame(facts, "features array<string>, sample_rows int, edge double").write.parquet(f"{path}/facts")
+    return load_detector(spark, path)
+
+
+def load_detector(spark: SparkSession, path: str) -> Detector:
+    facts = spark.read.parquet(f"{path}/facts").first()
+    nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes")
+    return Detector(nodes, list(facts["features"]), facts["sample_rows"], facts["edge"])
+
+
+def apply_detector(df: DataFrame, detector: Detector) -> DataFrame:
+    """Scores and flags of any rows, without the rows it was fitted on."""
+    scored = score_rows(df, detector.nodes, detector.features, detector.sample_rows)
+    return scored.withColumn("iso_anomaly", (F.col("iso_score") > F.lit(detector.edge)).cast("int"))
+
+
+def detect(df: DataFrame, threshold: float = 1.5, **forest) -> DataFrame:
     """Both layers and the combined flag."""
     flagged = rolling_zscore(isolation_forest(df, **forest), threshold)
     return flagged.withColumn("anomaly", F.greatest("iso_anomaly", "z_anomaly"))
 
 
-def zscore_anomalies(df: DataFrame, threshold: float = 3.0, **options) -> DataFrame:
+def zscore_anomalies(df: DataFrame, threshold: float = 1.5, **options) -> DataFrame:
     """The statistical layer alone, with its flag as the anomaly."""
     return rolling_zscore(df, threshold, **options).withColumn("anomaly", F.col("z_anomaly"))
 

@@ -4,16 +4,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
-from zonalis.functions import measures as m
 from zonalis.operators.features import SERIES, series
 
 LEVEL = fixed.TARGET
 
 
 def regression_metrics(scored: DataFrame, by: tuple[str, ...] = ("model",)) -> DataFrame:
-    """RMSE, MAE and R2 = 1 - SSE/SST in one aggregate per group."""
+    """RMSE, MAE and R2 = 1 - SSE/SST in one aggregate per group, over rows that have both values."""
     error = F.col("y") - F.col("p")
-    sums = scored.groupBy(*by).agg(
+    sums = scored.filter(F.col("y").isNotNull() & F.col("p").isNotNull()).groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         F.sum(error * error).alias("sse"),
         F.avg(F.abs(error)).alias("MAE"),
@@ -168,9 +167,3 @@ def align_predictions(frames: dict[str, DataFrame]) -> DataFrame:
         one = frame.select("zone", "date", "y", F.col("p").alias(name))
         out = one if out is None else out.join(one.drop("y"), ["zone", "date"])
     return out
-
-
-def display_error(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("residual", F.col("y") - F.col("p")).withColumn(
-        "shown", m.rounded(F.col("residual"), 4)
-    )

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from zonalis.functions import fixed
 from zonalis.operators.models import probabilities
 
-BUCKET_ROWS = 10_000
-
 
 def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     """Names of the vector slots from the assembler's metadata."""
@@ -36,16 +34,16 @@ def linear_contributions(test: DataFrame, train: DataFrame, weights: dict[str, f
 
 
 def permutation_importance(
-    model, df: DataFrame, outcome: int = 2, k: int = 20, seed: int = fixed.SEED
+    model, df: DataFrame, outcome: int = 2, k: int = 20, seed: int = fixed.SEED, buckets: int = 64
 ) -> DataFrame:
     """Mean absolute change of one class's probability when a feature is shuffled.
 
-    Rows are dealt into hash buckets of about 10,000; inside a bucket each row borrows the
-    values of its neighbour in hash order. Every (row, feature) variant is scored in one
+    Rows are dealt into ``buckets`` by hash, however many rows there are; inside a bucket each row
+    borrows the values of its neighbour in hash order (of itself where it is alone). Choose so
+    many that a bucket fits in a task. Every (row, feature) variant is scored in one
     job and averaged by feature, so nothing is collected or self-joined.
     """
     names = feature_names(df)
-    buckets = max(1, df.count() // BUCKET_ROWS)
     key = F.xxhash64(F.lit(seed), "zone", "date")
     known = model.transform(df.select("zone", "date", "features"))
     rows = known.select(

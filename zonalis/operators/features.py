@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
 from zonalis.functions import measures as m
+from zonalis.operators.selection import running_start
 
 SERIES = ("zone",)
 
@@ -29,17 +30,16 @@ def encode_soil(panel: DataFrame, column: str = "soil_type") -> DataFrame:
     return panel.withColumn(f"{column}_enc", (F.array_position(vocabulary, F.col(column)) - 1).cast("int"))
 
 
-def zone_names(panel: DataFrame, limit: int = 1000) -> list[str]:
-    """Zone names for a tabular one-hot; refuses a vocabulary that is no column list."""
-    names = [r.zone for r in panel.select("zone").distinct().orderBy("zone").limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"more than {limit} zones: use the vector form of the model assembly")
-    return names
+def one_hot_zone(panel: DataFrame) -> DataFrame:
+    """Sparse one-hot: the ``slot`` of the row's zone in name order, of ``slots`` in all.
 
-
-def one_hot_zone(panel: DataFrame, zones: list[str]) -> DataFrame:
-    flags = [(F.col("zone") == z).cast("int").alias(f"zone_{z}") for z in zones]
-    return panel.select("*", *flags)
+    A row without a zone has no slot. The order is kept by range partitions, so zones are never
+    listed on the driver, whatever their number.
+    """
+    names = panel.select("zone").filter(F.col("zone").isNotNull()).distinct().withColumn("one", F.lit(1))
+    ranked = running_start(names, ["zone"], "one", "slot").drop("one")
+    total = names.agg(F.count(F.lit(1))).scalar()
+    return panel.join(ranked, "zone", "left").withColumn("slots", total)
 
 
 def add_calendar(panel: DataFrame) -> DataFrame:
@@ -147,13 +147,6 @@ def align_features(df: DataFrame, trained: list[str], keep: list[str] = ()) -> D
     return df.select(*keep, *aligned)
 
 
-NOT_FEATURES = ["date", "zone", "soil_type", "risk_level", "groundwater_level", "risk_code", "month"]
-
-
-def feature_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in NOT_FEATURES]
-
-
 def add_window_features(panel: DataFrame, keys=SERIES) -> DataFrame:
     """Lags, trailing means and trailing std: one shuffle and one sort."""
     return add_trailing_std(add_trailing_means(add_lags(panel, keys), keys), keys)

@@ -26,7 +26,7 @@ from zonalis.operators.timeseries import minmax, sequences
 from zonalis.session import stage
 
 LEVEL, RISK = fixed.TARGET, fixed.RISK
-MAX_ONE_HOT = 2048
+HASH_SLOTS = 1 << 18
 
 NUMERIC_FEATURES = (
     ["latitude", "longitude", "is_coastal", "soil_permeability", "rainfall_mm", "temperature_c"]
@@ -72,18 +72,20 @@ def _scaler(train: DataFrame, columns: list[str]) -> SQLTransformer:
 
 
 def prepare(
-    train: DataFrame, columns: list[str] = NUMERIC_FEATURES, zone: bool = True
+    train: DataFrame, columns: list[str] = NUMERIC_FEATURES, zone: str | None = "one_hot", slots: int = HASH_SLOTS
 ) -> PipelineModel:
     """Scaling, zone encoding and assembly fitted on the training rows.
 
-    Zones become a sparse one-hot vector; beyond ``MAX_ONE_HOT`` names they are hashed, so
-    neither the name list nor the vector grows with the number of zones.
+    ``zone`` is the encoding, whatever the number of zones: ``one_hot`` has a slot per name and one
+    for unknown names, and holds the names in the model; ``hash`` has ``slots`` slots, which names
+    may share, and holds none; None leaves zones out.
     """
+    if zone not in ("one_hot", "hash", None):
+        raise ValueError(f"unknown zone encoding {zone!r}")
     stages = [_scaler(train, columns)]
     inputs = [f"{c}_z" for c in columns]
     if zone:
-        names = train.agg(F.approx_count_distinct("zone")).first()[0]
-        if names <= MAX_ONE_HOT:
+        if zone == "one_hot":
             stages.append(
                 StringIndexer(
                     inputCol="zone",
@@ -94,7 +96,7 @@ def prepare(
             )
             stages.append(OneHotEncoder(inputCol="zone_index", outputCol="zone_vector", dropLast=False))
         else:
-            stages.append(FeatureHasher(inputCols=["zone"], outputCol="zone_vector", numFeatures=MAX_ONE_HOT))
+            stages.append(FeatureHasher(inputCols=["zone"], outputCol="zone_vector", numFeatures=slots))
         inputs.append("zone_vector")
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     return Pipeline(stages=stages).fit(train)

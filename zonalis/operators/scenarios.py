@@ -73,14 +73,20 @@ def against_history(panel: DataFrame, n_years: int = 30) -> DataFrame:
     return projected.unionByName(history)
 
 
-def growth_trends(months: DataFrame, start_year: int) -> DataFrame:
-    """Population and urban share over a zone's months from its base values and rate."""
-    years = F.year("date") - start_year
-    return months.select(
-        "zone",
-        "date",
-        m.rounded(m.compound_growth(F.col("base_density"), F.col("rate"), years), 0).alias(
-            "population_density"
-        ),
-        m.rounded(m.capped_trend(F.col("base_urban"), F.col("rate"), years), 3).alias("urban_fraction"),
+def growth_trends(panel: DataFrame) -> DataFrame:
+    """Observed yearly change of population and urban share per zone, by least squares over the years."""
+    year = F.year("date")
+    return panel.groupBy("zone").agg(
+        F.regr_slope("population_density", year).alias("population_per_year"),
+        F.regr_slope("urban_fraction", year).alias("urban_per_year"),
+    )
+
+
+def covariate_lines(panel: DataFrame) -> DataFrame:
+    """Per zone, the line of evapotranspiration on temperature and of ndvi on the urban share."""
+    return panel.groupBy("zone").agg(
+        F.regr_slope("evapotranspiration", "temperature_c").alias("et_slope"),
+        F.regr_intercept("evapotranspiration", "temperature_c").alias("et_intercept"),
+        F.regr_slope("ndvi", "urban_fraction").alias("ndvi_slope"),
+        F.regr_intercept("ndvi", "urban_fraction").alias("ndvi_intercept"),
     )

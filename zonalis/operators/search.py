@@ -38,13 +38,13 @@ def classifier(name: str, train: DataFrame, params: dict):
 REGRESSORS = {
     "Ridge_Regression": {"alpha": fixed.RIDGE_ALPHAS},
     "Random_Forest": fixed.FOREST_GRID,
-    "XGBoost": fixed.BOOSTED_COLUMN_GRID,
+    "Column_Sampled_Boosting": fixed.BOOSTED_COLUMN_GRID,
     "Gradient_Boosting": fixed.BOOSTED_GRID,
 }
 CLASSIFIERS = {
     "Logistic_Regression": {"C": fixed.LOGIT_C},
     "RF_Classifier": fixed.FOREST_CLASSIFIER_GRID,
-    "XGB_Classifier": fixed.BOOSTED_CLASSIFIER_GRID,
+    "One_vs_Rest_Boosting": fixed.BOOSTED_CLASSIFIER_GRID,
 }
 
 
@@ -65,7 +65,8 @@ def search_regressor(
     """Mean RMSE over expanding-window folds for each drawn setting."""
     # one copy of the rows with their date rank; a fold is a rank filter on it
     ranked = with_date_ranks(train).persist()
-    dates = ranked.first()["n_dates"]
+    some = ranked.first()
+    dates = some["n_dates"] if some else 0
     size = dates // (folds + 1)
     settings = draw(grid or REGRESSORS[name], draws)
     rank = F.col("date_rank")
@@ -111,7 +112,7 @@ def _summary(name, settings, scores) -> list[dict]:
     out = []
     for number, params in enumerate(settings):
         values = [s for n, _, s in scores if n == number and s is not None]
-        out.append({"model": name, "params": params, "score": sum(values) / len(values), "folds": len(values)})
+        out.append({"model": name, "params": params, "score": sum(values) / len(values) if values else float("nan"), "folds": len(values)})
     return out
 
 

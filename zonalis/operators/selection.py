@@ -1,5 +1,7 @@
 """Filters, splits and folds."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,7 +74,7 @@ def with_history(df: DataFrame, rows: int = 3 * fixed.HISTORY_ROWS) -> DataFrame
 def first_zones(df: DataFrame, n: int = 3) -> DataFrame:
     """Rows of the first n zones by name."""
     names = df.select("zone").distinct().orderBy("zone").limit(n)
-    return df.join(F.broadcast(names), "zone", "left_semi")
+    return df.join(names, "zone", "left_semi")
 
 
 def zone_list(df: DataFrame) -> DataFrame:
@@ -80,16 +82,15 @@ def zone_list(df: DataFrame) -> DataFrame:
 
 
 def date_ranks(df: DataFrame) -> DataFrame:
-    """Distinct dates with their 0-based rank and count (bounded by the calendar)."""
-    dates = df.agg(F.array_sort(F.collect_set("date")).alias("dates"))
-    return dates.select(
-        F.size("dates").alias("n_dates"), F.posexplode("dates").alias("date_rank", "date")
-    )
+    """Distinct dates with their 0-based rank and count, ordered by range partitions."""
+    dates = df.select("date").filter(F.col("date").isNotNull()).distinct().withColumn("one", F.lit(1))
+    total = dates.agg(F.count(F.lit(1)).cast("int")).scalar()
+    ranked = running_start(dates, ["date"], "one", "date_rank")
+    return ranked.select("date", F.col("date_rank").cast("int").alias("date_rank"), total.alias("n_dates"))
 
 
 def with_date_ranks(df: DataFrame) -> DataFrame:
-    # one small row per calendar date, so the side is bounded whatever the table holds
-    return df.join(F.broadcast(date_ranks(df)), "date")
+    return df.join(date_ranks(df), "date")
 
 
 def expanding_folds(df: DataFrame, folds: int = 5) -> DataFrame:
@@ -148,10 +149,16 @@ def row_folds(df: DataFrame, folds: int = 5) -> DataFrame:
     )
 
 
+def _same(a: str, b: str, *columns: str) -> Column:
+    """Equal columns of two sides, nulls included."""
+    pairs = [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in columns]
+    return reduce(lambda x, y: x & y, pairs)
+
+
 def stratified_folds(df: DataFrame, folds: int = 5, label: str = fixed.RISK) -> DataFrame:
     """Deals each class over the folds in the order of (md5(zone), date).
 
-    The running number of a row is its place in its (class, zone) group plus the rows of
+    Rows without a label are a class of their own. The running number of a row is its place in its (class, zone) group plus the rows of
     the zones before it. The offsets are summed in two levels, 4,096 hash slices of zones
     and then the zones of a slice, so no class is ever sorted in one task.
     """
@@ -171,13 +178,16 @@ def stratified_folds(df: DataFrame, folds: int = 5, label: str = fixed.RISK) ->
     )
     starts = (
         counts.withColumn("zone_start", F.coalesce(F.sum("group_rows").over(inside), F.lit(0)))
-        .join(slices, [label, "slice"])
-        .select(label, "zone", (F.col("slice_start") + F.col("zone_start")).alias("start"))
+        .alias("c")
+        .join(slices.alias("s"), _same("c", "s", label, "slice"))
+        .select(f"c.{label}", "c.zone", (F.col("slice_start") + F.col("zone_start")).alias("start"))
     )
     place = F.row_number().over(Window.partitionBy(label, "zone").orderBy("date")) - 1
     return (
         df.withColumn("place", place)
-        .join(starts, [label, "zone"])
+        .alias("d")
+        .join(starts.alias("s"), _same("d", "s", label, "zone"))
+        .select("d.*", "start")
         .withColumn("fold", ((F.col("start") + F.col("place")) % folds).cast("int"))
         .drop("start", "place")
     )

@@ -128,8 +128,10 @@ def map_features(summary: DataFrame) -> DataFrame:
     )
 
 
-def write_map(features: DataFrame, path: str) -> None:
+def write_map(features: DataFrame, path: str) -> DataFrame:
+    """The map table as JSON lines, and the same table read back from them."""
     features.write.mode("overwrite").json(path)
+    return features.sparkSession.read.schema(features.schema).json(path)
 
 
 def risk_points(summary: DataFrame) -> DataFrame:

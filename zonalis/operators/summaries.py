@@ -15,6 +15,11 @@ MEASURES = [
     "population_density",
     "urban_fraction",
     "groundwater_level",
+    "latitude",
+    "longitude",
+    "is_coastal",
+    "soil_permeability",
+    "risk_code",
 ]
 
 
@@ -46,9 +51,9 @@ def annual_trend(panel: DataFrame) -> DataFrame:
     )
 
 
-def annual_pivot(panel: DataFrame, zones: list[str]) -> DataFrame:
-    """Year by zone; the zone list is the column list."""
-    return annual_trend(panel).groupBy("year").pivot("zone", zones).agg(F.max("gw_level"))
+def annual_pivot(panel: DataFrame, years: list[int]) -> DataFrame:
+    """Zone by year: a row per zone, whatever their number, and a column per given year."""
+    return annual_trend(panel).groupBy("zone").pivot("year", years).agg(F.max("gw_level"))
 
 
 def seasonal_profile(panel: DataFrame) -> DataFrame:
@@ -84,13 +89,6 @@ def risk_distribution(panel: DataFrame) -> DataFrame:
     )
 
 
-def reindex(counts: DataFrame, label: str, labels: list[str], value: str = "n") -> DataFrame:
-    """Counts over a fixed label list; labels without rows get 0."""
-    wanted = counts.sparkSession.createDataFrame([(x,) for x in labels], f"{label} string")
-    # the counts side has one row per label
-    return wanted.join(counts, label, "left").withColumn(value, F.coalesce(value, F.lit(0)))
-
-
 def rain_level_corr(panel: DataFrame) -> DataFrame:
     return panel.groupBy("zone").agg(
         F.corr("rainfall_mm", "groundwater_level").alias("pearson_r"), F.count(F.lit(1)).alias("n")
@@ -181,8 +179,8 @@ def profile(panel: DataFrame, columns: list[str] = MEASURES) -> DataFrame:
                 F.count(c).alias("count"),
                 F.avg(c).alias("mean"),
                 F.stddev_samp(c).alias("std"),
-                F.min(c).alias("min"),
-                F.max(c).alias("max"),
+                F.min(c).cast("double").alias("min"),
+                F.max(c).cast("double").alias("max"),
             ).alias(c)
             for c in columns
         ],

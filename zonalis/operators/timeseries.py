@@ -12,7 +12,7 @@ LEVEL = fixed.TARGET
 
 def rolling_zscore(
     df: DataFrame,
-    threshold: float = 3.0,
+    threshold: float = 1.5,
     window: int = fixed.ZSCORE_WINDOW,
     keys=SERIES,
     prior_only: bool = False,
@@ -20,9 +20,12 @@ def rolling_zscore(
     """Level against its trailing mean and sample std.
 
     A missing std (first row) counts as 1; a zero std gives no z and no flag. A frame that
-    holds the current row bounds the sample z by (w-1)/sqrt(w), 2.04 for six rows, so
-    thresholds above that need ``prior_only``.
+    holds the current row bounds the sample z by (w-1)/sqrt(w), 2.04 for six rows; thresholds
+    that no row can reach are refused, and ``prior_only`` compares with earlier rows alone.
     """
+    bound = (window - 1) / window**0.5
+    if not prior_only and threshold >= bound:
+        raise ValueError(f"|z| stays below {bound:.2f} in a window of {window} rows: use prior_only")
     over = series(keys)
     frame = over.rowsBetween(-window, -1) if prior_only else over.rowsBetween(-(window - 1), 0)
     scored = df.select(
@@ -83,15 +86,6 @@ def minmax_inverse(scaled: Column, column: str) -> Column:
     return scaled * (F.col(f"{column}_max") - F.col(f"{column}_min")) + F.col(f"{column}_min")
 
 
-def depletion_step(urban_rate: Column, start_year: int) -> Column:
-    """Monthly change of depth from given rain and temperature."""
-    recharge = F.col("rainfall_mm") * F.col("soil_permeability") * 0.002
-    extraction = F.lit(0.12) + urban_rate * (F.year("date") - start_year) * 0.02
-    evaporation = (F.col("temperature_c") - 25) * 0.005
-    coastal = F.when(F.col("is_coastal") == 1, F.lit(0.03)).otherwise(F.lit(0.0))
-    return -recharge + extraction + evaporation + coastal + urban_rate * 0.05
-
-
 def bounded_balance(
     df: DataFrame, delta: str, start: float, low: float = 1.0, high: float = 35.0, keys=SERIES
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from zonalis.plans.catalog_scalar import W, YEAR
 from zonalis.session import stage
 from zonalis.sources.tables import customer_panel, zone_panel
 
+YEARS = list(range(1992, 1999))  # of the order calendar
 LAST_COLUMNS = ["rainfall_mm", "temperature_c", "groundwater_level"]
 
 
@@ -33,9 +34,9 @@ def annual_trend(spark, sf_dir):
 
 
 def annual_pivot(spark, sf_dir):
-    panel = stage(zone_panel(spark, sf_dir).select("zone", "date", "groundwater_level"))
-    zones = features.zone_names(panel)
-    return shown(summaries.annual_pivot(panel, zones), 6, *zones)
+    """Every customer by the years of the order calendar."""
+    wide = summaries.annual_pivot(customer_panel(spark, sf_dir), YEARS)
+    return shown(wide, 6, *map(str, YEARS))
 
 
 def seasonal_profile(spark, sf_dir):
@@ -66,10 +67,7 @@ def zone_year_risk(spark, sf_dir):
 
 
 def last_state(spark, sf_dir):
-    """Rain is unknown in every fifth month here, so the last known values lie apart."""
-    panel = customer_panel(spark, sf_dir)
-    rain = F.when(F.month("date") % 5 != 0, F.col("rainfall_mm"))
-    return summaries.last_state(panel.withColumn("rainfall_mm", rain), LAST_COLUMNS)
+    return summaries.last_state(customer_panel(spark, sf_dir), LAST_COLUMNS)
 
 
 def panel_profile(spark, sf_dir):
@@ -203,6 +201,7 @@ ends AS (SELECT min(e) AS lo, max(e) AS hi FROM e),
 bins AS (SELECT least(floor((e - lo) / (hi - lo) * 40), 39) AS bin, count(*) AS n FROM e, ends GROUP BY 1)"""
 
 _MEASURES = ", ".join(summaries.MEASURES)
+_AS_DOUBLES = ", ".join(f"cast({c} AS double) AS {c}" for c in summaries.MEASURES)
 
 ORACLE = {
     "zone_summary": over_panel(
@@ -219,12 +218,10 @@ ORACLE = {
         f"""SELECT zone, cast(year(date) AS integer) AS year, {r('avg(groundwater_level)', 6)} AS gw_level
         FROM customers GROUP BY 1, 2"""
     ),
-    "annual_pivot": over_panel(
-        "SELECT cast(year(date) AS integer) AS year, "
-        + ", ".join(
-            f"{r(f'''avg(groundwater_level) FILTER (zone = 'NATION_{i}')''', 6)} AS \"NATION_{i}\"" for i in range(25)
-        )
-        + " FROM panel GROUP BY 1"
+    "annual_pivot": over_customers(
+        "SELECT zone, "
+        + ", ".join(f"{r(f'avg(groundwater_level) FILTER (year(date) = {y})', 6)} AS \"{y}\"" for y in YEARS)
+        + " FROM customers GROUP BY 1"
     ),
     "seasonal_profile": over_panel(
         f"""SELECT zone, cast(month(date) AS integer) AS month, {r('avg(groundwater_level)', 6)} AS gw_level
@@ -257,7 +254,7 @@ ORACLE = {
         _MODE.format("customers", f"WHERE year(date) = {YEAR}"),
     ),
     "last_state": over_customers(
-        """SELECT zone, arg_max(rainfall_mm, date) FILTER (month(date) % 5 <> 0) AS rainfall_mm,
+        """SELECT zone, arg_max(rainfall_mm, date) AS rainfall_mm,
         arg_max(temperature_c, date) AS temperature_c, arg_max(groundwater_level, date) AS groundwater_level
         FROM customers GROUP BY zone"""
     ),
@@ -267,7 +264,7 @@ ORACLE = {
         {r('avg(value)', 6)} AS mean, {r('stddev_samp(value)', 6)} AS std, min(value) AS min, max(value) AS max,
         {r('quantile_cont(value, 0.25)', 6)} AS q25, {r('quantile_cont(value, 0.5)', 6)} AS q50,
         {r('quantile_cont(value, 0.75)', 6)} AS q75
-        FROM (UNPIVOT (SELECT {_MEASURES} FROM customers) ON {_MEASURES} INTO NAME measure VALUE value),
+        FROM (UNPIVOT (SELECT {_AS_DOUBLES} FROM customers) ON {_MEASURES} INTO NAME measure VALUE value),
         (SELECT count(*) AS panel_rows, count(DISTINCT zone) AS zones, min(date) AS first_date,
          max(date) AS last_date FROM customers) GROUP BY measure"""
     ),

@@ -85,7 +85,7 @@ def gbt_eval(spark, sf_dir):
 
 def gbt_colsample_eval(spark, sf_dir):
     params = {**BOOSTED, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"}
-    return _regressor(spark, sf_dir, "XGBoost", lambda _: models.boosted_regressor(**params))
+    return _regressor(spark, sf_dir, "Column_Sampled_Boosting", lambda _: models.boosted_regressor(**params))
 
 
 def logit_eval(spark, sf_dir):
@@ -98,7 +98,7 @@ def rf_cls_eval(spark, sf_dir):
 
 def gbt_cls_eval(spark, sf_dir):
     params = {"maxIter": 8, "maxDepth": 3, "stepSize": 0.1}
-    return _classifier(spark, sf_dir, "XGB_Classifier", lambda _: models.boosted_classifier(**params))
+    return _classifier(spark, sf_dir, "One_vs_Rest_Boosting", lambda _: models.boosted_classifier(**params))
 
 
 def random_search(spark, sf_dir):
@@ -143,7 +143,10 @@ def model_roundtrip(spark, sf_dir):
 def risk_scoring(spark, sf_dir):
     _, train, test = _tables(spark, sf_dir)
     model = models.logit(train).fit(train)
-    return models.risk_scores(models.predict_class(model, test, "Logistic_Regression"))
+    scores = stage(models.risk_scores(models.predict_class(model, test, "Logistic_Regression")), "scores")
+    train.unpersist()
+    test.unpersist()
+    return scores
 
 
 def whatif_score(spark, sf_dir):
@@ -176,6 +179,46 @@ def isolation_forest(spark, sf_dir):
     return shown(anomaly.isolation_forest(rows), 9, "iso_score")
 
 
+def detector_roundtrip(spark, sf_dir):
+    """Every customer month: the saved and loaded detector flags what the fit on all rows flags."""
+    rows = stage(customer_panel(spark, sf_dir).select("zone", "date", *fixed.ANOMALY_FEATURES), "panel")
+    path = fresh_path(spark, "detector")
+    anomaly.fit_detector(rows, path)
+    loaded = anomaly.apply_detector(rows, anomaly.load_detector(spark, path))
+    direct = anomaly.isolation_forest(rows).select("zone", "date", F.col("iso_anomaly").alias("direct"))
+    both = loaded.join(direct, ["zone", "date"])
+    return both.select("zone", "date", (F.col("iso_anomaly") == F.col("direct")).cast("int").alias("same"))
+
+
+def isolation_facts(spark, sf_dir):
+    """What must hold of the forest's output on all customer months."""
+    rows = stage(customer_panel(spark, sf_dir).select("zone", "date", *fixed.ANOMALY_FEATURES), "panel")
+    scored = anomaly.isolation_forest(rows)
+    share = F.sum("iso_anomaly") <= fixed.CONTAMINATION * F.count(F.lit(1))
+    inside = F.min("iso_score").between(0, 1) & F.max("iso_score").between(0, 1)
+    return scored.agg(
+        F.count(F.lit(1)).alias("n"), share.cast("int").alias("share_kept"), inside.cast("int").alias("in_bounds")
+    )
+
+
+def risk_scoring_facts(spark, sf_dir):
+    """What must hold of every scored row: chances that add up to one, and a known label."""
+    scored = risk_scoring(spark, sf_dir)
+    total = F.aggregate(F.map_values("probabilities"), F.lit(0.0), lambda a, x: a + x)
+    sound = (F.abs(total - 1) < 0.002) & F.col("risk_label").isin(*fixed.RISK_LABELS)
+    return scored.select("zone", "date", sound.cast("int").alias("sound"))
+
+
+def forecast_facts(spark, sf_dir):
+    """Months and distinct dates that each customer's forecast covers, and whether all are numbers."""
+    rows = forecasting.future(customer_panel(spark, sf_dir), months=24)
+    return rows.groupBy("zone").agg(
+        F.count(F.lit(1)).alias("months"),
+        F.countDistinct("date").alias("dates"),
+        F.min((~F.isnan(rows[rows.columns[-1]])).cast("int")).alias("numbers"),
+    )
+
+
 def event_anomalies(spark, sf_dir):
     """The forest over daily event series, on their one measure."""
     return shown(
@@ -256,6 +299,10 @@ QUERIES = {
         hybrid_eval,
         isolation_forest,
         event_anomalies,
+        detector_roundtrip,
+        isolation_facts,
+        risk_scoring_facts,
+        forecast_facts,
         anomaly_combined,
         anomaly_report,
         arima_order,
@@ -270,6 +317,16 @@ QUERIES = {
 }
 
 ORACLE = {
+    "detector_roundtrip": over_customers("SELECT zone, date, 1 AS same FROM customers"),
+    "isolation_facts": over_customers("SELECT count(*) AS n, 1 AS share_kept, 1 AS in_bounds FROM customers"),
+    "risk_scoring_facts": over_panel(
+        "SELECT zone, date, 1 AS sound FROM kept, (SELECT max(date) - INTERVAL 3 YEAR AS edge FROM kept) WHERE date > edge",
+        f"""ranked AS (SELECT zone, date, risk_level, row_number() OVER {W} AS rn FROM panel),
+        kept AS (SELECT zone, date FROM ranked WHERE rn > 12 AND risk_level IS NOT NULL)""",
+    ),
+    "forecast_facts": over_customers(
+        "SELECT zone, 24 AS months, 24 AS dates, 1 AS numbers FROM customers GROUP BY zone"
+    ),
     "model_roundtrip": over_panel(
         """SELECT zone, date, 1 AS same FROM kept, (SELECT max(date) - INTERVAL 3 YEAR AS edge FROM kept)
         WHERE date > edge""",

@@ -93,8 +93,7 @@ def label_encode(spark, sf_dir):
 
 
 def one_hot_zone(spark, sf_dir):
-    panel = stage(zone_panel(spark, sf_dir).select("zone", "date"))
-    return features.one_hot_zone(panel, features.zone_names(panel))
+    return features.one_hot_zone(stage(customer_panel(spark, sf_dir).select("zone", "date")))
 
 
 def clip_round(spark, sf_dir):
@@ -118,23 +117,13 @@ def slug(spark, sf_dir):
 
 
 def growth_trends(spark, sf_dir):
-    nations = tables.table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("zone"),
-        (8000 + 500.0 * F.col("n_nationkey")).alias("base_density"),
-        (0.3 + 0.015 * F.col("n_nationkey")).alias("base_urban"),
-        (0.015 + 0.001 * F.col("n_nationkey")).alias("rate"),
-    )
-    months = calendar.zone_spine(zone_panel(spark, sf_dir)).join(nations, "zone")
-    return scenarios.growth_trends(months, 1990)
+    rows = scenarios.growth_trends(customer_panel(spark, sf_dir))
+    return shown(rows, 7, "population_per_year", "urban_per_year")
 
 
 def covariate_proxies(spark, sf_dir):
-    return zone_panel(spark, sf_dir).select(
-        "zone",
-        "date",
-        m.rounded(m.evapotranspiration_proxy(F.col("temperature_c")), 2).alias("evapotranspiration"),
-        m.rounded(m.ndvi_proxy(F.col("urban_fraction")), 3).alias("ndvi"),
-    )
+    rows = scenarios.covariate_lines(zone_panel(spark, sf_dir))
+    return shown(rows, 4, "et_slope", "et_intercept", "ndvi_slope", "ndvi_intercept")
 
 
 def urbanization_index(spark, sf_dir):
@@ -346,10 +335,9 @@ ORACLE = {
         """SELECT zone, date, soil_type, cast(dense_rank() OVER (ORDER BY soil_type) - 1 AS integer)
         AS soil_type_enc FROM panel"""
     ),
-    "one_hot_zone": over_panel(
-        "SELECT zone, date, "
-        + ", ".join(f"cast(zone = 'NATION_{i}' AS integer) AS \"zone_NATION_{i}\"" for i in range(25))
-        + " FROM panel"
+    "one_hot_zone": over_customers(
+        """SELECT zone, date, dense_rank() OVER (ORDER BY zone) - 1 AS slot,
+        (SELECT count(DISTINCT zone) FROM customers) AS slots FROM customers"""
     ),
     "clip_round": over_panel(
         f"""SELECT zone, date,
@@ -361,18 +349,15 @@ ORACLE = {
         """SELECT zone, date, replace(concat_ws(' ', zone, soil_type, risk_level), ' ', '_') AS slug,
         replace(concat_ws('_', zone, soil_type), '_', ' ') AS label FROM customers"""
     ),
-    "growth_trends": over_panel(
-        f"""SELECT zone, date,
-        {r('(8000 + 500e0 * k) * exp((0.015e0 + 0.001e0 * k) * (year(date) - 1990) / 5)', 0)} AS population_density,
-        {r('least(1e0, greatest(0e0, 0.3e0 + 0.015e0 * k + (0.015e0 + 0.001e0 * k) * (year(date) - 1990) / 4))', 3)}
-          AS urban_fraction
-        FROM spine JOIN (SELECT n_name AS zone, n_nationkey AS k FROM nation) USING (zone)""",
-        """spine AS (SELECT zone, cast(unnest(generate_series(min(date), max(date), INTERVAL 1 MONTH)) AS date)
-        AS date FROM panel GROUP BY zone)""",
+    "growth_trends": over_customers(
+        f"""SELECT zone, {r('regr_slope(population_density, year(date))', 7)} AS population_per_year,
+        {r('regr_slope(urban_fraction, year(date))', 7)} AS urban_per_year FROM customers GROUP BY zone"""
     ),
     "covariate_proxies": over_panel(
-        f"""SELECT zone, date, {r('0.6e0 * temperature_c', 2)} AS evapotranspiration,
-        {r(_NDVI, 3)} AS ndvi FROM panel"""
+        f"""SELECT zone, {r('regr_slope(evapotranspiration, temperature_c)', 4)} AS et_slope,
+        {r('regr_intercept(evapotranspiration, temperature_c)', 4)} AS et_intercept,
+        {r('regr_slope(ndvi, urban_fraction)', 4)} AS ndvi_slope,
+        {r('regr_intercept(ndvi, urban_fraction)', 4)} AS ndvi_intercept FROM panel GROUP BY zone"""
     ),
     "urbanization_index": over_panel(
         f"""SELECT zone, date, {r('''0.5e0 * urban_fraction + 0.3e0 * ((population_density - lo) / (hi - lo + 1e-9))

@@ -29,7 +29,7 @@ from zonalis.plans.base import (
 )
 from zonalis.plans.catalog_aggregates import _MODE, _summary
 from zonalis.plans.catalog_scalar import _FLOW, _SEASON, AR1, W, YEAR
-from zonalis.session import stage
+from zonalis.session import fresh_path, stage
 from zonalis.sources.tables import customer_panel, event_series, zone_panel
 
 THRESHOLD = 1.5
@@ -92,13 +92,9 @@ def anomaly_counts(spark, sf_dir):
 
 
 def gap_fill(spark, sf_dir):
-    """The gappy customer series; three further months in seven are dropped or unknown."""
+    """The customer series, which have a row only for months with an order."""
     rows = customer_panel(spark, sf_dir).select(*LEVEL_KEYS)
-    index = m.month_index(F.col("date"))
-    kept = rows.filter(index % 7 != 0).withColumn(
-        "groundwater_level", F.when(index % 7 > 2, F.col("groundwater_level"))
-    )
-    return shown(calendar.fill_gaps(kept), 6, "groundwater_level")
+    return shown(calendar.fill_gaps(rows), 6, "groundwater_level")
 
 
 def sequence_windows(spark, sf_dir):
@@ -133,8 +129,9 @@ def stratified_folds(spark, sf_dir):
 
 
 def bounded_balance(spark, sf_dir):
-    rate = 0.03 + 0.02 * F.col("is_coastal")
-    steps = customer_panel(spark, sf_dir).withColumn("delta", timeseries.depletion_step(rate, 1990) * 12)
+    """Balance of what evaporates against a tenth of the rain, kept between 1 and 35."""
+    delta = F.col("evapotranspiration") - F.col("rainfall_mm") / 10
+    steps = customer_panel(spark, sf_dir).withColumn("delta", delta)
     return shown(timeseries.bounded_balance(steps, "delta", 18.0), 6, "balance")
 
 
@@ -246,8 +243,8 @@ def idw_exact(spark, sf_dir):
 
 
 def map_features(spark, sf_dir):
-    path_free = spatial.map_features(_year_summary(spark, sf_dir))
-    return shown(path_free, 6, "heat")
+    rows = spatial.map_features(_year_summary(spark, sf_dir))
+    return shown(spatial.write_map(rows, fresh_path(spark, "map")), 6, "heat")
 
 
 def risk_points(spark, sf_dir):
@@ -331,8 +328,7 @@ def _zscore(source: str, frame: str, threshold: float) -> str:
     flagged AS (SELECT *, coalesce(cast(abs(z) > {threshold}e0 AS integer), 0) AS flag FROM scored)"""
 
 
-_KEPT = """kept AS (SELECT zone, date, CASE WHEN (year(date) * 12 + month(date) - 1) % 7 > 2
-    THEN groundwater_level END AS v FROM customers WHERE (year(date) * 12 + month(date) - 1) % 7 <> 0)"""
+_KEPT = "kept AS (SELECT zone, date, groundwater_level AS v FROM customers)"
 FILLED = """spine AS (SELECT zone, cast(unnest(generate_series(min(date), max(date), INTERVAL 1 MONTH)) AS date) AS date
     FROM kept GROUP BY zone),
   grid AS (SELECT s.zone, s.date, v, year(s.date) * 12 + month(s.date) - 1 AS t, k.date IS NULL AS gap
@@ -359,9 +355,7 @@ _ACF = f"""centred AS (SELECT *, residual - avg(residual) OVER (PARTITION BY zon
     FROM centred GROUP BY zone),
   shifted AS (SELECT zone, k, e * lag(e, cast(k AS integer)) OVER (PARTITION BY zone, k ORDER BY date) AS p
     FROM centred, (SELECT unnest(range(1, 11)) AS k))"""
-_DELTA = """12 * (-(rainfall_mm * soil_permeability * 0.002e0) + (0.12e0 + (0.03e0 + 0.02e0 * is_coastal)
-  * (year(date) - 1990) * 0.02e0) + (temperature_c - 25) * 0.005e0 + 0.03e0 * is_coastal
-  + (0.03e0 + 0.02e0 * is_coastal) * 0.05e0)"""
+_DELTA = "evapotranspiration - rainfall_mm / 10"
 _BALANCE = f"""steps AS (SELECT zone, date, {_DELTA} AS delta,
     row_number() OVER (PARTITION BY zone ORDER BY date) AS rn FROM customers),
   walk(zone, rn, date, x) AS (

@@ -22,13 +22,14 @@ from zonalis.session import stage
 from zonalis.sources import panel as io
 
 # Search effort by default: the full grids. ``QUICK`` keeps every step but draws less.
-FULL = {"draws": None, "folds": 5, "grids": {}}
+FULL = {"draws": None, "folds": 5, "grids": {}, "hybrid": {"trees": 200, "depth": 30}}
 QUICK = {
     "draws": 1,
     "folds": 2,
+    "hybrid": {"trees": 20, "depth": 6},
     "grids": {
         "Random_Forest": {"numTrees": [20], "maxDepth": [6]},
-        "XGBoost": {
+        "Column_Sampled_Boosting": {
             "maxIter": [8],
             "maxDepth": [4],
             "subsamplingRate": [0.8],
@@ -36,7 +37,7 @@ QUICK = {
         },
         "Gradient_Boosting": {"maxIter": [8], "maxDepth": [3]},
         "RF_Classifier": {"numTrees": [20], "maxDepth": [6]},
-        "XGB_Classifier": {"maxIter": [3], "maxDepth": [2]},
+        "One_vs_Rest_Boosting": {"maxIter": [3], "maxDepth": [2]},
     },
 }
 
@@ -110,7 +111,7 @@ def train_classifiers(table, effort=FULL, model_dir: str | None = None) -> DataF
     return board
 
 
-def anomaly_report(panel: DataFrame, threshold: float = 3.0) -> DataFrame:
+def anomaly_report(panel: DataFrame, threshold: float = 1.5) -> DataFrame:
     """Rows and anomalies per zone by layer."""
     flagged = anomaly.detect(stage(panel, "panel"), threshold)
     return flagged.groupBy("zone").agg(
@@ -126,7 +127,7 @@ def hybrid_metrics(panel: DataFrame, test_years: int = 3, trees: int = 200, dept
     model = models.fit_hybrid(rows.filter("role = 'train'"), trees, depth)
     scored = model.transform(rows.filter("role = 'test'"))
     return evaluation.regression_metrics(
-        scored.select(F.lit("HybridPhysicsML").alias("model"), F.col(fixed.TARGET).alias("y"), "p")
+        scored.select(F.lit("Physics_Plus_Forest").alias("model"), F.col(fixed.TARGET).alias("y"), "p")
     )
 
 
@@ -165,8 +166,7 @@ def run_all(
     if table:
         release(table)
     if "advanced" in steps:
-        small = {"trees": 20, "depth": 6} if effort is QUICK else {}
-        out.append(rows("hybrid", hybrid_metrics(panel, **small), "model", ["RMSE", "MAE", "R2"]))
+        out.append(rows("hybrid", hybrid_metrics(panel, **effort["hybrid"]), "model", ["RMSE", "MAE", "R2"]))
         ends = scenarios.project(panel).groupBy("scenario").agg(F.avg("gw_level_proj").alias("mean_level"))
         out.append(rows("scenarios", ends, "scenario", ["mean_level"]))
         out.append(rows("anomalies", anomaly_report(panel), "zone", ["anomalies"]))

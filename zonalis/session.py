@@ -38,11 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+_STAGED: dict[str, list[str]] = {}
 
 
-_STAGED: dict[str, list[str]] = {}
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder, which ``drop_staged`` deletes with the staged tables."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, name: str = "staged") -> DataFrame:
@@ -54,14 +57,13 @@ def stage(df: DataFrame, name: str = "staged") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_staged(spark: SparkSession) -> int:
-    """Delete what this application staged, once no result needs it any more."""
-    paths = _STAGED.pop(spark.sparkContext.applicationId, [])
-    for path in paths:
+    """Delete what this application wrote, once no result needs it; the number of places deleted."""
+    dropped = 0
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-    return len(paths)
+        dropped += target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return dropped

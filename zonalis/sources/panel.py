@@ -30,18 +30,28 @@ PANEL_SCHEMA = T.StructType(
 PANEL_COLUMNS = PANEL_SCHEMA.fieldNames()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _matches(spark: SparkSession, path: str) -> bool:
+    """Whether the path, which may be a glob, names anything."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop)
+    return found is not None and len(found) > 0
 
 
-def read_panel(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
-    """Panel with a declared schema; a missing path gives an empty panel."""
-    if not _exists(spark, path):
+def read_panel(
+    spark: SparkSession, path: str, file_format: str = "parquet", empty_if_missing: bool = False
+) -> DataFrame:
+    """Panel with a declared schema from a folder, file or glob.
+
+    A path that names nothing is an error unless ``empty_if_missing``. The columns of a CSV file
+    must be named and ordered as declared, and a value that is not of its type is an error.
+    """
+    if not _matches(spark, path):
+        if not empty_if_missing:
+            raise FileNotFoundError(path)
         return spark.createDataFrame([], PANEL_SCHEMA)
     reader = spark.read.schema(PANEL_SCHEMA)
     if file_format == "csv":
-        return reader.option("header", True).csv(path)
+        return reader.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
     # a year folder is a partition column beside the declared ones
     return reader.format(file_format).load(path).select(*PANEL_COLUMNS)
 
@@ -53,9 +63,8 @@ def sorted_panel(df: DataFrame) -> DataFrame:
 def write_panel(df: DataFrame, path: str, file_format: str = "parquet", by_year: bool = False) -> None:
     """One table; ``by_year`` lays it out so that date filters prune whole folders."""
     if by_year:
-        # a year is spread over 32 writers, so one heavy year is no single task
-        spread = F.pmod(F.xxhash64("zone"), F.lit(32))
-        df = df.withColumn("year", F.year("date")).repartition("year", spread)
+        # the sizes of the shuffled years decide how many tasks write each
+        df = df.withColumn("year", F.year("date")).hint("rebalance", "year")
         df.write.mode("overwrite").partitionBy("year").format(file_format).option("header", True).save(path)
     else:
         df.write.mode("overwrite").format(file_format).option("header", True).save(path)
