@@ -118,7 +118,7 @@ def slug(spark, sf_dir):
 
 def growth_trends(spark, sf_dir):
     rows = scenarios.growth_trends(customer_panel(spark, sf_dir))
-    return shown(rows, 8, "population_per_year", "urban_per_year")
+    return shown(rows, 11, "population_per_year", "urban_per_year")
 
 
 def covariate_proxies(spark, sf_dir):
@@ -350,8 +350,8 @@ ORACLE = {
         replace(concat_ws('_', zone, soil_type), '_', ' ') AS label FROM customers"""
     ),
     "growth_trends": over_customers(
-        f"""SELECT zone, {r('regr_slope(population_density, year(date) - 1995)', 8)} AS population_per_year,
-        {r('regr_slope(urban_fraction, year(date) - 1995)', 8)} AS urban_per_year FROM customers GROUP BY zone"""
+        f"""SELECT zone, {r('regr_slope(population_density, year(date) - 1995)', 11)} AS population_per_year,
+        {r('regr_slope(urban_fraction, year(date) - 1995)', 11)} AS urban_per_year FROM customers GROUP BY zone"""
     ),
     "covariate_proxies": over_panel(
         f"""SELECT zone, {r('regr_slope(evapotranspiration, temperature_c)', 4)} AS et_slope,
