@@ -117,8 +117,8 @@ def slug(spark, sf_dir):
 
 
 def growth_trends(spark, sf_dir):
-    rows = scenarios.growth_trends(customer_panel(spark, sf_dir))
-    return shown(rows, 11, "population_per_year", "urban_per_year")
+    rows = scenarios.growth_trends(zone_panel(spark, sf_dir))
+    return shown(rows, 6, "population_per_year", "urban_per_year")
 
 
 def covariate_proxies(spark, sf_dir):
@@ -349,9 +349,9 @@ ORACLE = {
         """SELECT zone, date, replace(concat_ws(' ', zone, soil_type, risk_level), ' ', '_') AS slug,
         replace(concat_ws('_', zone, soil_type), '_', ' ') AS label FROM customers"""
     ),
-    "growth_trends": over_customers(
-        f"""SELECT zone, {r('regr_slope(population_density, year(date) - 1995)', 11)} AS population_per_year,
-        {r('regr_slope(urban_fraction, year(date) - 1995)', 11)} AS urban_per_year FROM customers GROUP BY zone"""
+    "growth_trends": over_panel(
+        f"""SELECT zone, {r('regr_slope(population_density, year(date) - 1995)', 6)} AS population_per_year,
+        {r('regr_slope(urban_fraction, year(date) - 1995)', 6)} AS urban_per_year FROM panel GROUP BY zone"""
     ),
     "covariate_proxies": over_panel(
         f"""SELECT zone, {r('regr_slope(evapotranspiration, temperature_c)', 4)} AS et_slope,
