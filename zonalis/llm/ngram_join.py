@@ -299,7 +299,8 @@ def clusters_of(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     entries = lists.mapInArrow(split, "list binary, doc_id bigint")
-    told = entries.join(members.select("doc_id", "rep", "n_shingles", "bits"), "doc_id").select(
+    # merge joins at every size, so that what is moved grows with the input and not by jumps
+    told = entries.join(members.select("doc_id", "rep", "n_shingles", "bits").hint("merge"), "doc_id").select(
         "list", "rep", "n_shingles", "bits"
     )
     sharded = told.withColumn("shard", F.pmod(F.xxhash64("list"), F.lit(4 * shards)))
@@ -459,7 +460,7 @@ def links(df: DataFrame, key: str, text: str, width: int, percent: int, clusters
 
     texts = df.select(F.col(f"`{key}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     shards = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets = texts.join(placed, "id").select("id", "component", "own", "low", "high", "text").mapInArrow(
+    sets = texts.join(placed.hint("merge"), "id").select("id", "component", "own", "low", "high", "text").mapInArrow(
         shingled, "id bigint, component bigint, own int, low int, high int, shingles binary")
     sharded = sets.withColumn("shard", F.pmod(F.xxhash64("component", "low", "high"), F.lit(shards)))
     return sharded.groupBy("shard").applyInArrow(join, "a bigint, b bigint")
