@@ -49,5 +49,7 @@ def test_host_prior_decides_where_text_does_not(spark):
 
 def test_trigram_sums_stay_within_rows():
     data = np.frombuffer(b"abcdeXYZ", np.uint8)
-    assert lid._inside(np.array([0, 5, 8])).tolist() == [True, True, True, False, False, True]
+    assert lid._telling(data, np.array([0, 5, 8])).tolist() == [True, True, True, False, False, True]
+    digits = np.frombuffer(b"ab1cd ef", np.uint8)
+    assert lid._telling(digits, np.array([0, 8])).tolist() == [False, False, False, True, True, True]
     assert len(lid.trigrams(data)) == 6

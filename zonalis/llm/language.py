@@ -8,7 +8,8 @@ confusions come from grouped aggregation of each row's best language by text alo
 hypothesis ``und`` has uniform trigrams and no preference in any evidence.
 
 Candidate languages are those declared by at least ``SUPPORT`` rows, at most ``MOST`` by count.
-Null or empty texts, and texts without a trigram, are ``und``. Null declarations and addresses are
+Trigrams with digits or marks are no evidence. Null or
+empty texts, and texts without a telling trigram, are ``und``. Null declarations and addresses are
 no evidence. Rows are judged one by one; extra columns stay; an empty table gives no rows.
 """
 
@@ -31,6 +32,9 @@ UNKNOWN_SHARE = 0.01
 
 _LOWER = np.arange(256, dtype=np.uint32)
 _LOWER[65:91] += 32
+#: Bytes that speak for a language: letters, all of other characters, and what parts words.
+_SPEAKS = np.zeros(256, bool)
+_SPEAKS[[*b" \n\t'", *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 
 def trigrams(data: np.ndarray) -> np.ndarray:
@@ -40,9 +44,10 @@ def trigrams(data: np.ndarray) -> np.ndarray:
     return (code * np.uint32(2654435761)) >> np.uint32(18)
 
 
-def _inside(bounds: np.ndarray) -> np.ndarray:
-    """Which of the trigrams lie within one row."""
-    ok = np.ones(max(0, int(bounds[-1]) - 2), bool)
+def _telling(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which of the trigrams lie within one row and hold no digits or marks, which all languages share."""
+    own = _SPEAKS[data]
+    ok = own[:-2] & own[1:-1] & own[2:]
     for back in (1, 2):
         cut = bounds[1:-1] - back
         ok[cut[(cut >= 0) & (cut < len(ok))]] = False
@@ -74,7 +79,7 @@ def trigram_counts(rows: DataFrame, languages: list[str]) -> np.ndarray:
                 text, edge = data[part[0] : part[-1]], part - part[0]
                 if len(text) < 3:
                     continue
-                ok = _inside(edge)
+                ok = _telling(text, edge)
                 owner = np.repeat(which[start:stop], np.diff(edge))[: len(ok)]
                 code = trigrams(text).astype(np.int64)
                 total += np.bincount((owner * BUCKETS + code)[ok], minlength=total.size).reshape(total.shape)
@@ -105,18 +110,20 @@ def text_evidence(df: DataFrame, model: np.ndarray, text: str, out: str = "__tex
         for batch in batches:
             data, bounds = flat(batch)
             found = np.zeros((len(model), len(bounds) - 1))
+            heard = np.zeros(len(bounds) - 1, bool)
             for start, stop in pieces(bounds):
                 part = bounds[start : stop + 1]
                 raw, edge = data[part[0] : part[-1]], part - part[0]
                 if len(raw) < 3:
                     continue
-                code, ok = trigrams(raw), _inside(edge)
+                code, ok = trigrams(raw), _telling(raw, edge)
                 at = np.minimum(edge, len(ok))
+                told = np.concatenate([[0], np.cumsum(ok)])
+                heard[start:stop] = told[at[1:]] > told[at[:-1]]
                 for i, row in enumerate(model):
                     total = np.concatenate([[0.0], np.cumsum(np.where(ok, row[code], 0.0))])
                     found[i, start:stop] = total[at[1:]] - total[at[:-1]]
-            short = np.diff(bounds) < 3
-            yield pa.array([None if s else v for s, v in zip(short, TEMPER * found.T, strict=True)],
+            yield pa.array([v if h else None for h, v in zip(heard, TEMPER * found.T, strict=True)],
                            pa.list_(pa.float64()))
 
     return df.withColumn(out, likelihood(F.col(f"`{text}`")))
