@@ -26,4 +26,9 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
     "pages_language": language.pages_language,
 }
-ORACLE = {"op2_chat": chat.OP2_SQL}
+ORACLE = {
+    "op1_suffix_dedup": suffix_dedup.OP1_SQL,
+    "op2_chat": chat.OP2_SQL,
+    "op3_ngram_join": ngram_join.OP3_SQL,
+    "op7_vectors": vector_dedup.OP7_SQL,
+}

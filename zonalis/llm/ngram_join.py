@@ -488,3 +488,23 @@ def ngram_components(df: DataFrame, key: str = "doc_id", text: str = "text", wid
 def op3_ngram_join(spark, sf_dir):
     """Shingle counts and near-duplicate components of every document."""
     return ngram_components(table(spark, sf_dir, "documents"))
+
+
+#: All pairs that share a shingle, and what each document reaches.
+OP3_SQL = """
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, s FROM (
+  SELECT doc_id, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(2, len(w) - 3))]) AS s
+  FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT s FROM shingles GROUP BY s HAVING count(*) > 1),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM shingles x JOIN shared USING (s)
+  JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+edges AS (SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * i >= 75 * (p.n + q.n - i)),
+reach AS (SELECT doc_id AS id, doc_id AS other FROM documents
+  UNION SELECT r.id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT d.doc_id, cast(coalesce(n, 0) AS bigint) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT id AS doc_id, min(other) AS component_id FROM reach GROUP BY id) c USING (doc_id)"""

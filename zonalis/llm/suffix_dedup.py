@@ -469,3 +469,24 @@ def op1_suffix_dedup(spark, sf_dir):
     return cut.select(
         "doc_id", (F.octet_length("kept") + lost).cast("bigint").alias("n_bytes"), lost.alias("n_removed"),
         F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Every string of 50 bytes by itself, the runs of those that an earlier document has, and what lies between.
+OP1_SQL = """
+WITH docs AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+strings AS (SELECT doc_id, p, b[p:p + 49] AS s
+  FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 48)) AS p FROM docs WHERE octet_length(b) >= 50)),
+firsts AS (SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s),
+hits AS (SELECT doc_id, p FROM strings JOIN firsts USING (s) WHERE first_id < doc_id),
+marked AS (SELECT doc_id, p, cast(p > lag(p, 1, -100) OVER w + 50 AS integer) AS opens FROM hits
+  WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+numbered AS (SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked),
+spans AS (SELECT doc_id, min(p) AS first_byte, max(p) + 49 AS last_byte FROM numbered GROUP BY doc_id, span),
+edges AS (SELECT doc_id, first_byte, last_byte FROM spans UNION ALL SELECT doc_id, octet_length(b) + 1, octet_length(b) + 1 FROM docs),
+gaps AS (SELECT doc_id, lag(last_byte, 1, 0) OVER (PARTITION BY doc_id ORDER BY first_byte) + 1 AS a, first_byte - 1 AS z FROM edges),
+kept AS (SELECT doc_id, unhex(coalesce(string_agg(CASE WHEN a <= z THEN hex(b[a:z]) ELSE '' END, '' ORDER BY a), '')) AS k
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id),
+lost AS (SELECT doc_id, sum(last_byte - first_byte + 1) AS n, count(*) AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, cast(octet_length(b) AS bigint) AS n_bytes, cast(coalesce(n, 0) AS bigint) AS n_removed,
+  cast(coalesce(spans, 0) AS bigint) AS n_spans, sha256(k) AS kept_sha256
+FROM docs JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)"""

@@ -321,3 +321,19 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
 def op7_vectors(spark, sf_dir):
     """Links and components of all embeddings."""
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+#: All pairs of a label, and what each vector reaches.
+OP7_SQL = """
+WITH RECURSIVE vectors AS (SELECT vec_id, label, cast(embedding AS double[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+  AND len([x FOR x IN embedding IF x <> 0]) > 0),
+edges AS (SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y
+  ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.98),
+reach AS (SELECT vec_id AS id, vec_id AS other FROM embeddings
+  UNION SELECT r.id, e.b FROM reach r JOIN edges e ON e.a = r.other),
+links AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+SELECT e.vec_id, cast(coalesce(n, 0) AS bigint) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN links ON a = e.vec_id
+JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) c ON c.id = e.vec_id"""
