@@ -256,6 +256,16 @@ def arima_future(spark, sf_dir):
     return shown(forecasting.future(customer_panel(spark, sf_dir)), 6, "predicted_gw")
 
 
+def forecast_files(spark, sf_dir):
+    """Forecasts of the chosen orders, written as a folder per zone and read back, against those made."""
+    made = stage(forecasting.future(zone_panel(spark, sf_dir), 24), "future")
+    path = fresh_path(spark, "forecasts")
+    io.write_forecasts(made, path)
+    read = io.read_forecasts(spark, path).select("zone", "date", F.col("predicted_gw").alias("read"))
+    both = made.join(read, ["zone", "date"], "left")
+    return both.select("zone", "date", F.coalesce((F.col("read") == F.col("predicted_gw")).cast("int"), F.lit(0)).alias("same"))
+
+
 def direct_multistep(spark, sf_dir):
     scored = models.direct_multistep(zone_panel(spark, sf_dir))
     return _metrics(scored.withColumn("model", F.concat(F.lit("step "), "step")))
@@ -309,6 +319,7 @@ QUERIES = {
         arima_ar_fits,
         arima_eval,
         arima_future,
+        forecast_files,
         direct_multistep,
         regression_job,
         classification_job,
@@ -324,6 +335,10 @@ ORACLE = {
         f"""ranked AS (SELECT zone, date, risk_level, row_number() OVER {W} AS rn FROM panel),
         kept AS (SELECT zone, date FROM ranked WHERE rn > 12 AND risk_level IS NOT NULL)""",
     ),
+    "forecast_files": over_panel(
+        """SELECT zone, cast(unnest(generate_series(max(date) + INTERVAL 1 MONTH, max(date) + INTERVAL 24 MONTH,
+        INTERVAL 1 MONTH)) AS date) AS date, 1 AS same FROM panel GROUP BY zone"""
+    ),
     "forecast_facts": over_customers(
         "SELECT zone, 24 AS months, 24 AS dates, 1 AS numbers FROM customers GROUP BY zone"
     ),
