@@ -5,6 +5,7 @@ in UTF-8, equals the same rule on code points. All hashes are 64 bits wide and i
 process, so that they agree between executors.
 """
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -67,7 +68,9 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all rows end to end, and the row bounds; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = pc.fill_null(column, b"")
     _, offsets, data = column.buffers()
     bounds = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
@@ -120,6 +123,13 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def release() -> None:
+    """Give freed memory back: workers serve many groups, and a group's peak would stay with them."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(trim := ctypes.CDLL(None), "malloc_trim"):
+        trim.malloc_trim(0)
+
+
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true values."""
     edge = np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))

@@ -27,13 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import flat, mix, pieces, powers, prefix_hash, ranges, runs, table
+from zonalis.llm.common import flat, mix, pieces, powers, prefix_hash, ranges, release, runs, table
 from zonalis.session import stage
 
 LENGTH = 50
 GRAM = 24
 #: Longer rows are read in overlapping parts; positions within a part take 24 bits.
 PART = 1 << 22
+#: Bytes of text whose strings are hashed at a time.
+PIECE = 1 << 18
 FLUSH = 3_000_000
 #: Contexts of a shard that are sorted at a time; those of one anchor stay together.
 SORTED_AT_ONCE = 20_000
@@ -82,7 +84,7 @@ class Contexts:
 
 def parts(bounds: np.ndarray, length: int) -> Iterator[tuple[int, int, int, int]]:
     """First and last row and byte range of each part; parts of one row share length - 1 bytes."""
-    for start, stop in pieces(bounds):
+    for start, stop in pieces(bounds, PIECE):
         low, high = int(bounds[start]), int(bounds[stop])
         if stop - start > 1 or high - low <= PART:
             yield start, stop, low, high
@@ -209,7 +211,9 @@ def _row_batch(key: np.ndarray, name: str, columns: dict[str, np.ndarray], blobs
     return out
 
 
-CONTEXTS = "shard int, bucket int, anchor binary, digest binary, strings binary, low binary, high binary, bytes binary"
+CONTEXTS = "shard int, bucket int, anchor binary, strings binary, low binary, spread binary, bytes binary"
+#: Parts of an anchor shard that are sorted as groups of their own, which bounds a task's memory.
+SPLIT = 4
 
 
 def send_contexts(rows: DataFrame, anchors: DataFrame, length: int, shards: int) -> DataFrame:
@@ -222,7 +226,8 @@ def send_contexts(rows: DataFrame, anchors: DataFrame, length: int, shards: int)
         known = np.sort(np.concatenate([
             (np.uint64(s) << np.uint64(40)) | unpack40(a)
             for s, a in zip(wanted["shard"].to_pylist(), wanted["anchors"].to_pylist(), strict=True)]))
-        docs = docs.filter(docs["id"].is_valid())
+        if docs["id"].null_count:
+            docs = docs.filter(docs["id"].is_valid())
         ids = docs["id"].to_numpy()
         data, bounds = flat(docs["text"])
         found = []
@@ -237,13 +242,19 @@ def send_contexts(rows: DataFrame, anchors: DataFrame, length: int, shards: int)
         name, digest, strings, doc, at = (x[order] for x in (name, digest, strings, doc, at))
         first = np.flatnonzero(_starts(name, digest))
         last = np.concatenate([first[1:], [len(name)]]) - 1
-        name, digest, strings, at = (x[first] for x in (name, digest, strings, at))
+        name, strings, at = (x[first] for x in (name, strings, at))
         content = lambda a, b: data[ranges(at[a:b], strings[a:b] + length - 1)].tobytes()
+        low, high = doc[first], doc[last]
+        shard = (name >> np.uint64(40)).astype(np.int64) * SPLIT + (name % np.uint64(SPLIT)).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        shard, name, strings, at, low, high = (x[order] for x in (shard, name, strings, at, low, high))
         made = _row_batch(
-            (name >> np.uint64(40)).astype(np.int64), "shard",
-            {"anchor": name.astype("<u8"), "digest": digest.astype("<u8"), "strings": strings.astype("<u4"),
-             "low": doc[first].astype("<i8"), "high": doc[last].astype("<i8")}, {"bytes": content})
+            shard, "shard",
+            {"strings": strings.astype("<u4"), "low": low.astype("<i8"), "spread": (high - low).astype("<i8")},
+            {"anchor": lambda a, b: pack40(name[a:b] & _LOW40), "bytes": content})
         made["bucket"] = pa.array([docs["bucket"][0].as_py()] * len(made["shard"]), pa.int32())
+        del found, name, digest, strings, doc, at, data
+        release()
         return pa.table({n: made[n] for n in schema.names}, schema=schema)
 
     return rows.groupBy("bucket").cogroup(anchors.groupBy("bucket")).applyInArrow(gather, CONTEXTS)
@@ -337,22 +348,40 @@ def first_documents(blob: np.ndarray, size: np.ndarray, low: np.ndarray, length:
 VERDICTS = "bucket int, digest binary, anchor binary, n_runs binary, run binary, first binary"
 
 
+def digests(blob: np.ndarray, at: np.ndarray, strings: np.ndarray, length: int) -> np.ndarray:
+    """Digests of contexts, equal to those that ``Contexts`` gives them in their documents."""
+    out = np.empty(len(at), np.uint64)
+    for start, stop in pieces(np.concatenate([at, [len(blob)]]), PIECE):
+        first = at[start]
+        begin = at[start:stop] - first
+        end = begin + strings[start:stop] + (length - 1)
+        whole = prefix_hash(blob[first : first + end[-1]])
+        _, down = powers(len(whole))
+        out[start:stop] = (whole[end] - whole[begin]) * down[begin]
+    return mix(out ^ strings.astype(np.uint64))
+
+
 def judge_contexts(sent: DataFrame, length: int) -> DataFrame:
     """To each bucket: for its contexts, runs of strings and the first document that has them."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = {n: [] for n in ("anchor", "digest", "strings", "low", "high", "bytes")}
-        types = {"anchor": "<u8", "digest": "<u8", "strings": "<u4", "low": "<i8", "high": "<i8", "bytes": "u1"}
-        buckets = []
+        types = {"strings": "<u4", "low": "<i8", "spread": "<i8", "bytes": "u1"}
+        held = {n: [] for n in types}
+        anchors, buckets, shard = [], [], 0
         for batch in batches:
-            for n in held:
+            for n in types:
                 held[n] += [np.frombuffer(x, types[n]) for x in batch.column(n).to_pylist()]
+            anchors += [unpack40(x) for x in batch.column("anchor").to_pylist()]
             buckets += batch.column("bucket").to_pylist()
-        bucket = np.repeat(buckets, [len(x) for x in held["anchor"]])
-        anchor, digest, strings, low, high, blob = (np.concatenate(held[n]) for n in held)
+            shard = batch.column("shard")[0].as_py()
+        bucket = np.repeat(buckets, [len(x) for x in anchors])
+        anchor = np.concatenate(anchors) | (np.uint64(shard // SPLIT) << np.uint64(40))
+        strings, low, spread, blob = (np.concatenate(held.pop(n)) for n in types)
+        high = low + spread
         strings = strings.astype(np.int64)
         size = strings + length - 1
         at = np.cumsum(size) - size
+        digest = digests(blob, at, strings, length)
         order = np.lexsort((low, digest, anchor))
         fresh = _starts(anchor[order], digest[order])
         kind = np.empty(len(order), np.int64)  # distinct context of each row
@@ -385,6 +414,8 @@ def judge_contexts(sent: DataFrame, length: int) -> DataFrame:
             {"digest": digest[useful].astype("<u8"), "anchor": anchor[useful].astype("<u8"), "n_runs": count.astype("<u4")},
             {"run": lambda a, b: run[pick[before[a] : before[b]]].astype("<u4").tobytes(),
              "first": lambda a, b: run_first[pick[before[a] : before[b]]].astype("<i8").tobytes()})
+        del held, blob, firsts, first, owner
+        release()
         yield pa.RecordBatch.from_pydict(made)
 
     return sent.groupBy("shard").applyInArrow(judge, VERDICTS)
@@ -410,7 +441,6 @@ def cut_documents(rows: DataFrame, verdicts: DataFrame, length: int, shards: int
             offset = np.cumsum(run) - run  # within a context after taking off its first
             known = docs["id"].is_valid().to_numpy()
             ids = docs["id"].fill_null(0).to_numpy()
-            edge = np.zeros(len(data) + 1, np.int64)
             for part, low, row in contexts(data, bounds, length):
                 at = np.minimum(np.searchsorted(digest, part.digest), len(digest) - 1)
                 hit = np.flatnonzero(
@@ -420,10 +450,11 @@ def cut_documents(rows: DataFrame, verdicts: DataFrame, length: int, shards: int
                 whose = np.repeat(np.arange(len(hit)), count[at])
                 use = first[pick] < ids[row[hit]][whose]
                 pick, whose = pick[use], whose[use]
-                begin = low + part.start[hit][whose] + offset[pick] - offset[from_run[at]][whose]
+                begin = part.start[hit][whose] + offset[pick] - offset[from_run[at]][whose]
+                edge = np.zeros(len(part.raw) + 1, np.int32)
                 np.add.at(edge, begin, 1)
                 np.add.at(edge, begin + run[pick] + length - 1, -1)
-            gone = np.cumsum(edge[:-1]) > 0
+                gone[low : low + len(part.raw)] |= np.cumsum(edge[:-1]) > 0
         kept, removed = [], []
         for a, b in zip(bounds, bounds[1:], strict=False):
             out = gone[a:b]
@@ -433,6 +464,8 @@ def cut_documents(rows: DataFrame, verdicts: DataFrame, length: int, shards: int
                 continue
             kept.append(data[a:b][~out].tobytes())
             removed.append([{"start": int(s), "stop": int(e)} for s, e in zip(*runs(out), strict=True)])
+        del data, gone
+        release()
         return pa.table({"rest": docs["rest"], "kept": pa.array(kept, pa.binary()), "removed": pa.array(removed, _SPANS)})
 
     shape = f"rest {rows.schema['rest'].dataType.simpleString()}, {CUT}"
