@@ -24,6 +24,8 @@ from zonalis.llm.common import table
 
 #: Distinct chunks a worker keeps; beyond it chunks are encoded anew.
 CACHE_CHUNKS = 700_000
+#: Letters below this code point are letters to every version of Unicode.
+LATIN_END = "\u0250"
 
 
 def byte_characters() -> list[str]:
@@ -95,6 +97,7 @@ class Encoder:
         self.inner: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
         self.newline = self.whole("\n")
+        self.marks = {mark: self.whole(mark) for mark in ".,"}
         [self.newline_id] = np.frombuffer(self.newline, dtype)
 
     def whole(self, text: str) -> bytes:
@@ -137,10 +140,18 @@ class Encoder:
         parts.pop()
         if None in parts:
             gaps = [i for i, ids in enumerate(parts) if ids is None]
-            new = list({chunks[i] for i in gaps})
+            new = {chunks[i] for i in gaps}
             if not all(map(_regular, new)):
                 return self.whole(text)
-            found = self.added(new)
+            marked = {c for c in new if c[-1] in self.marks and c[:-1].isalpha() and max(c) < LATIN_END}
+            bases = {c[:-1] for c in marked}
+            asked = list((new - marked) | {b for b in bases if b not in self.inner})
+            found = self.added(asked) if asked else {}
+            for c in marked:  # the mark is a match of its own
+                base = found.get(c[:-1])
+                found[c] = (self.inner[c[:-1]] if base is None else base) + self.marks[c[-1]]
+                if len(self.inner) < self.room:
+                    self.inner[c] = found[c]
             for i in gaps:
                 parts[i] = found[chunks[i]]
         return b"".join(parts)

@@ -123,6 +123,14 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(out)
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Arrow batches of fewer rows than Spark's default, as whole texts make wide rows; a setting of
+    the user's own is left alone."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
+
+
 def release() -> None:
     """Give freed memory back: workers serve many groups, and a group's peak would stay with them."""
     pa.default_memory_pool().release_unused()

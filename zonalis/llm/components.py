@@ -50,7 +50,8 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    """Smallest neighbour by node, written down: a join with it can then be split at a hot node."""
+    return stage(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

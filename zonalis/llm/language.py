@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import flat, pieces, sum_vectors, table
+from zonalis.llm.common import flat, pieces, sum_vectors, table, text_batches
 from zonalis.session import stage
 
 BUCKETS = 1 << 14
@@ -200,6 +200,7 @@ def identify(df: DataFrame, text: str = "text", declaration: str | None = None,
         F.lower(named(host)).alias("host"), F.lower(named(domain)).alias("domain"),
         F.lower(named(suffix)).alias("suffix"),
     )
+    text_batches(df.sparkSession)
     found = sorted(languages) if languages else languages_of(own)
     empty = df.withColumns({"language": F.lit(UNKNOWN), "posterior": F.lit(1.0),
                             "posteriors": F.array(F.lit(1.0))})

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import Words, flat, mix, pieces, ranges, table, window_hashes
+from zonalis.llm.common import Words, flat, mix, pieces, ranges, release, table, text_batches, window_hashes
 from zonalis.llm.components import components, roots
 from zonalis.session import stage
 
@@ -36,10 +36,11 @@ SKETCH = 1 << 20
 SLICES = 64
 HOT = 200_000
 BLOCK = 4096
-#: Shingles a task holds before it sends them on.
-FLUSH = 4_000_000
+#: Early shingles a task holds before it sends them on.
+FLUSH = 500_000
+PIECE = 1 << 18
 #: Bits of a parity bitmap for each shingle, before rounding up to a power of two.
-BITS = 4
+BITS = 2
 
 
 def needed(a, b, percent: int):
@@ -50,7 +51,7 @@ def needed(a, b, percent: int):
 def set_pieces(column: pa.Array, width: int = WIDTH) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, set sizes by row, and the sorted distinct shingles of all rows end to end."""
     data, bounds = flat(column)
-    for start, stop in pieces(bounds):
+    for start, stop in pieces(bounds, PIECE):
         part = bounds[start : stop + 1]
         words = Words(data[part[0] : part[-1]], part - part[0])
         hashes, counts = words.hashes(), np.diff(words.first)
@@ -108,6 +109,7 @@ def describe(df: DataFrame, key: str, text: str, width: int) -> DataFrame:
                     [batch.column("key").slice(start, count), pa.array(sizes.astype(np.int64)),
                      pa.array(digest, pa.binary()), pa.array([bitmap(s) if len(s) else None for s in sets], pa.binary()),
                      pa.array([None] * count, pa.int32()), pa.array([None] * count, pa.binary())], _NAMES)
+        release()
         parts = sketch.reshape(SLICES, -1)
         none = [None] * SLICES
         yield pa.RecordBatch.from_arrays(
@@ -196,12 +198,14 @@ def shared_lists(df: DataFrame, key: str, text: str, width: int, percent: int, c
                     docs = np.concatenate([docs[rest], more_docs])
                 held.append((tokens, docs))
                 n += len(tokens)
-                if n >= FLUSH // 4:
+                if n >= FLUSH:
                     yield flush()
                     held.clear()
                     n = 0
         if n:
             yield flush()
+        held.clear()
+        release()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, docs = [], []
@@ -212,6 +216,7 @@ def shared_lists(df: DataFrame, key: str, text: str, width: int, percent: int, c
         tokens, docs = np.concatenate(tokens), np.concatenate(docs)
         order = np.argsort(tokens, kind="stable")
         ranked = tokens[order]
+        del tokens
         starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         ends = np.concatenate([starts[1:], [len(ranked)]])
         found: dict[bytes, bytes] = {}
@@ -296,6 +301,8 @@ def clusters_of(lists: DataFrame, members: DataFrame, percent: int) -> DataFrame
             a += more[0]
             b += more[1]
             start = stop
+        del held, bits
+        release()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     entries = lists.mapInArrow(split, "list binary, doc_id bigint")
@@ -469,6 +476,7 @@ def links(df: DataFrame, key: str, text: str, width: int, percent: int, clusters
 def ngram_components(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH,
                      percent: int = 75) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` of every row."""
+    text_batches(df.sparkSession)
     described = stage(describe(df, key, text, width), "shingles")
     counts = order_classes(described)
     rows = described.where("slice IS NULL")

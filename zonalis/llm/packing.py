@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.llm import bpe
-from zonalis.llm.common import ranges, sum_vectors, table
+from zonalis.llm.common import ranges, sum_vectors, table, text_batches
 from zonalis.session import stage
 
 WINDOW = 2048
@@ -207,6 +207,7 @@ def pack(df: DataFrame, definition: str, key: str = "doc_id", text: str = "text"
     ``window`` must be a power of two for sequences of other lengths to need no padding.
     """
     spark = df.sparkSession
+    text_batches(spark)
     size = vocabulary_size(definition)
     encoded = stage(encode_documents(df, definition, key, text, closing), "ids")
     parts = encoded.where("frequencies IS NOT NULL").select(F.lit(0).alias("all"), "frequencies")

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import flat, mix, pieces, powers, prefix_hash, ranges, release, runs, table
+from zonalis.llm.common import flat, mix, pieces, powers, prefix_hash, ranges, release, runs, table, text_batches
 from zonalis.session import stage
 
 LENGTH = 50
@@ -480,6 +480,7 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     if length < GRAM + 2:
         raise ValueError(f"length must be at least {GRAM + 2}")
     spark = df.sparkSession
+    text_batches(spark)
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     identity = F.col(f"`{key}`").cast("bigint")
     bucket = F.pmod(F.xxhash64(F.coalesce(identity, F.xxhash64(F.col(f"`{text}`")))), F.lit(shards)).cast("int")

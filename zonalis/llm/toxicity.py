@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonalis.llm.common import Words, flat, hashed_rank, mix, pieces, powers, prefix_hash, table
+from zonalis.llm.common import Words, flat, hashed_rank, mix, pieces, powers, prefix_hash, table, text_batches
 from zonalis.session import stage
 
 LABELLED_BOUND = 20_000
@@ -219,6 +219,7 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, grades: np.ndarray, width: int
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
         bound: int = LABELLED_BOUND) -> Model:
+    text_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, key, text, label, bound)
     sizes = {r["positive"]: r["n"] for r in sample.groupBy((F.col("label") > 0).alias("positive")).agg(
         F.count("*").alias("n")).collect()}
