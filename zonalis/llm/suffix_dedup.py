@@ -36,7 +36,8 @@ GRAM = 24
 PART = 1 << 22
 #: Bytes of text whose strings are hashed at a time.
 PIECE = 1 << 18
-FLUSH = 3_000_000
+#: Anchors a task holds before it sorts them and sends them on.
+FLUSH = 500_000
 #: Contexts of a shard that are sorted at a time; those of one anchor stay together.
 SORTED_AT_ONCE = 20_000
 
@@ -172,6 +173,8 @@ def repeated_anchors(rows: DataFrame, length: int, shards: int) -> DataFrame:
                     n = 0
         if n:
             yield flush()
+        held.clear()
+        release()
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchors, buckets, shard = [], [], 0
@@ -190,6 +193,8 @@ def repeated_anchors(rows: DataFrame, length: int, shards: int) -> DataFrame:
         anchors, buckets = anchors[order], buckets[order]
         edges = np.flatnonzero(np.concatenate([_starts(buckets), [True]])) if len(buckets) else np.zeros(1, int)
         spans = list(zip(edges, edges[1:], strict=False))
+        del order, fresh, count, keep
+        release()
         yield pa.RecordBatch.from_arrays(
             [pa.array([int(buckets[a]) for a, _ in spans], pa.int32()), pa.array([shard] * len(spans), pa.int32()),
              pa.array([pack40(anchors[a:b]) for a, b in spans], pa.binary())], ["bucket", "shard", "anchors"])
