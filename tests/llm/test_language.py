@@ -53,3 +53,28 @@ def test_trigram_sums_stay_within_rows():
     digits = np.frombuffer(b"ab1cd ef", np.uint8)
     assert lid._telling(digits, np.array([0, 8])).tolist() == [False, False, False, True, True, True]
     assert len(lid.trigrams(data)) == 6
+
+
+def test_every_declared_language_is_a_candidate(spark):
+    rng = np.random.default_rng(5)
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "klmnopqrs"]  # 72, two of them with a single row
+    rows = []
+    for i, name in enumerate(names):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(30)]
+        for j in range(1 if i < 2 else 6):
+            rows.append((len(rows), " ".join(rng.choice(words, 40)), name, "h", None if j == 5 else name))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, host string, said string")
+    got = lid.identify(df, declaration="said", host="host").collect()
+    kept = {r.doc_id for r in lid.keep_known(df, declaration="said", host="host").collect()}
+    drop_staged(spark)
+    assert [r.doc_id for r in got if r.language != r.lang] == [] and len(got) == len(rows) == len(kept)
+    assert {len(r.posteriors) for r in got} == {73}
+
+
+def test_a_declared_und_is_no_language(spark):
+    rows = [(1, "the cat and the dog of the house", "und")]
+    rows += [(2 + i, "the cat and the dog of the house", "en") for i in range(9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, said string")
+    got = lid.identify(df, declaration="said").collect()
+    drop_staged(spark)
+    assert {r.language for r in got} == {"en"} and {len(r.posteriors) for r in got} == {2}
