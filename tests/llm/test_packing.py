@@ -91,3 +91,28 @@ def test_bm25_ranks_as_the_formula_says():
 
     unused = np.array([False, True, True, True])
     assert shard.neighbours(0, unused).tolist() == sorted([1, 2], key=lambda d: -score(d))
+
+
+def test_copies_of_other_tasks_meet(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_TOKENS", 600)
+    draw = np.random.default_rng(1)
+    words = [f"w{i}x{i * 7}" for i in range(4000)]
+    texts = [" ".join(draw.choice(words, 12)) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts * 2)), "doc_id bigint, text string")
+    split = df.repartitionByRange(2, "doc_id")  # the copies of a text lie in two tasks
+    rows = packing.pack(split, bpe.from_json(PATH), window=256).collect()
+    drop_staged(spark)
+    held = defaultdict(set)
+    for r in rows:
+        held[r.doc_id].add(r.sequence_id)
+    assert sum(bool(held[i] & held[i + 60]) for i in range(60)) > 45
+
+
+def test_light_terms_of_a_seed_count():
+    seed = np.arange(1, 61)
+    idf = np.concatenate([[0.0], np.full(59, 5.0), [0.1], np.full(40, 1.0)])
+    shard = packing.Shard([seed, np.array([60, 61, 62]), np.array([70, 71])], idf)
+    unused = np.array([False, True, True])
+    assert shard.neighbours(0, unused).tolist() == [1]
+    shard.forget(np.array([True, False, True]))
+    assert shard.neighbours(0, np.array([False, False, True])).tolist() == []

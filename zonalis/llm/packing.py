@@ -1,19 +1,23 @@
 """Packing by lexical retrieval: windows of related documents from a sharded BM25 index.
 
 A document is its ids and a closing id. Whole windows of long documents are sequences of their own;
-what is left of each document enters a shard, some ``SHARD_TOKENS`` of neighbouring documents of a
-task with an inverted index of their ids. Document frequencies are counted over all documents. The
-longest unused piece of a shard seeds a window; the index ranks the unused pieces by BM25 for the
-seed's heaviest terms; in that order pieces that fit go in whole, then the best of the rest is cut
+what is left of each document is routed by content: all pieces of the input are ordered by their
+heaviest term that ``BROAD`` documents have, then by their heaviest that two have, then by their
+ids. Range partitions of that order are the tasks, so a hot term is divided by the next ones, and
+copies are neighbours wherever they lay in the input. A shard is some ``SHARD_TOKENS`` of
+neighbours in it, with an inverted index of their ids; pieces of other shards are not ranked.
+Document frequencies are counted over all documents. The longest unused piece of a shard seeds a
+window; the index ranks the unused pieces by BM25 for all terms of the seed; in that order pieces that fit go in whole, then the best of the rest is cut
 so that the window is full, and what remains of it stays in the shard. With no unused neighbour
 left, the longest pieces follow. What does not fill a window passes on to the task's next shard;
 the last of a task is cut at powers of two, so nothing is padded.
 
 Every id lies in exactly one piece. Null and empty texts have the closing id only. Repeated rows are
-packed like any others; extra columns are not read; an empty table gives no rows. Pieces do not
-depend on where a task runs, so a lost executor's task gives the same pieces again.
+packed like any others; extra columns are not read; an empty table gives no rows. The order is
+total, so pieces do not depend on where a task runs, and a lost executor's task gives the same pieces again.
 """
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.llm import bpe
-from zonalis.llm.common import ranges, sum_vectors, table, text_batches
+from zonalis.llm.common import sum_vectors, table, text_batches
 from zonalis.session import stage
 
 WINDOW = 2048
 CLOSING = 1
 SHARD_TOKENS = 3_000_000
-#: A seed's terms that are looked up, by weight.
-QUERY_TERMS = 24
+#: Documents that a term needs to be the first by which pieces are routed: some of a shard's.
+BROAD = 1000
 K1, B = 1.2, 0.75
 
 ENCODED = "key bigint, ids binary, frequencies binary"
@@ -72,6 +76,44 @@ def width(size: int) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
 
+ROUTED = "key bigint, ids binary, broad int, narrow int, digest bigint, place bigint"
+ROUTE = ["broad", "narrow", "digest", "place"]
+
+
+def heaviest(ids: np.ndarray, weights: np.ndarray, frequencies: np.ndarray) -> tuple[int, int]:
+    """The heaviest terms that ``BROAD`` and that two documents have, or -1."""
+    terms, count = np.unique(ids, return_counts=True)
+    weight = weights[terms] * count * (K1 + 1) / (count + K1)
+    known = frequencies[terms]
+    found = []
+    for least in (BROAD, 2):
+        some = np.flatnonzero(known >= least)
+        found.append(int(terms[some[weight[some].argmax()]]) if len(some) else -1)
+    return found[0], found[1]
+
+
+def by_content(rows: DataFrame, sent, kind: str, window: int) -> DataFrame:
+    """Keys and ids in the order of their routes, in range partitions of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf, frequencies = sent.value
+        place = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            routes = []
+            for packed in batch.column("ids"):
+                ids = np.frombuffer(packed.as_py(), kind)
+                rest = ids[len(ids) // window * window :]
+                routes.append((*heaviest(rest, idf, frequencies), zlib.crc32(rest.tobytes()), place))
+                place += 1
+            columns = list(zip(*routes, strict=True)) if routes else [()] * 4
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+            made = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), *made], ["key", "ids", *ROUTE])
+
+    routed = rows.mapInArrow(run, ROUTED)
+    return routed.repartitionByRange(*ROUTE).sortWithinPartitions(*ROUTE).select("key", "ids")
+
+
 class Shard:
     """BM25 index over the ids of some pieces, and the pieces not yet used."""
 
@@ -91,15 +133,19 @@ class Shard:
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused pieces with a term of the seed, best first; ties by position."""
-        mine = slice(self.of_doc[seed], self.of_doc[seed + 1])
-        terms, weight = self.term[mine], self.weight[mine]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(-weight, QUERY_TERMS - 1)[:QUERY_TERMS]]
-        at = ranges(self.from_term[terms], self.from_term[terms + 1] - self.from_term[terms])
-        score = np.bincount(self.posting_doc[at], self.posting_weight[at], len(unused))
+        terms = self.term[self.of_doc[seed] : self.of_doc[seed + 1]]
+        spans = [slice(a, b) for a, b in zip(self.from_term[terms].tolist(), self.from_term[terms + 1].tolist(), strict=True)]
+        score = np.bincount(np.concatenate([self.posting_doc[x] for x in spans]),
+                            np.concatenate([self.posting_weight[x] for x in spans]), len(unused))
         found = np.flatnonzero(unused & (score > 0))
         return found[np.argsort(-score[found], kind="stable")]
 
+    def forget(self, unused: np.ndarray) -> None:
+        """Take used pieces out of the postings."""
+        keep = unused[self.posting_doc]
+        self.from_term = np.concatenate([[0], np.cumsum(keep)])[self.from_term]
+        self.posting_doc, self.posting_weight = self.posting_doc[keep], self.posting_weight[keep]
+
 
 class Packer:
     """Fills windows from shards of pieces (key, start, tokens of the document, ids)."""
@@ -134,6 +180,7 @@ class Packer:
         by_length = np.argsort(-left, kind="stable")
         cut: list[int] = []
         total, at = int(left.sum()), 0
+        indexed = total
 
         def take(i: int, room: int) -> tuple:
             key, start, whole, ids = pieces[i]
@@ -144,6 +191,9 @@ class Packer:
             return (key, start + int(begin), whole, ids[begin : begin + size])
 
         while total >= self.window:
+            if total < 0.8 * indexed:
+                index.forget(unused)
+                indexed = total
             while not unused[by_length[at]]:
                 at += 1
             # what was cut seeds the next window, so that its ends stay near each other
@@ -216,11 +266,11 @@ def pack(df: DataFrame, definition: str, key: str = "doc_id", text: str = "text"
         total = np.frombuffer(row["frequencies"], "<u8").astype(np.int64)
     documents = int(total[closing]) if len(total) > closing else 0
     idf = np.log1p((documents - total + 0.5) / (total + 0.5))
-    sent = spark.sparkContext.broadcast(idf)
+    sent = spark.sparkContext.broadcast((idf, total))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, base = width(size), TaskContext.get().partitionId() << 32
-        packer = Packer(sent.value, window)
+        packer = Packer(sent.value[0], window)
         shard: list[tuple] = []
         held = 0
 
@@ -251,7 +301,8 @@ def pack(df: DataFrame, definition: str, key: str = "doc_id", text: str = "text"
         packer.finish(packer.fill(shard))
         yield rows()
 
-    return encoded.where("ids IS NOT NULL").select("key", "ids").mapInArrow(run, PIECES).withColumnRenamed("key", key)
+    routed = by_content(encoded.where("ids IS NOT NULL").select("key", "ids"), sent, width(size), window)
+    return routed.mapInArrow(run, PIECES).withColumnRenamed("key", key)
 
 
 def op9_packing(spark, sf_dir):
