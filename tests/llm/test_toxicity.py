@@ -49,3 +49,11 @@ def test_odd_rows_and_no_labels(spark):
 def test_given_grades_are_kept():
     assert tox.severity(np.array([0, 1, 2, 3]), np.zeros(4)).tolist() == [0, 1, 2, 3]
     assert tox.severity(np.array([0, 1, 1, 1]), np.array([0, 1, 2, 9])).tolist() == [0, 1, 1, 2]
+
+
+def test_repeated_ids_do_not_unbound_the_sample(spark):
+    docs = spark.createDataFrame([(min(i, 4), f"text number {i}") for i in range(300)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(5)], "doc_id bigint, toxic int")
+    got = [tox.labelled_sample(d, labels, "doc_id", "text", "toxic", 5).collect() for d in (docs, docs.orderBy("text"))]
+    drop_staged(spark)
+    assert len(got[0]) == 5 and set(got[0]) == set(got[1])

@@ -80,14 +80,18 @@ def known_features(data: np.ndarray, bounds: np.ndarray, vocabulary: np.ndarray)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, bound: int) -> DataFrame:
-    """``label``, ``text`` and ``hash`` of at most ``bound`` labelled rows, each distinct text once."""
+    """``label``, ``text`` and ``hash`` of at most ``bound`` labelled rows, each distinct text once.
+
+    Of rows with the same id the one with the smallest text hash counts.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(
         F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(hashed_rank(key), key).limit(bound)
     rows = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("text"))
-    sample = rows.join(F.broadcast(chosen), key)  # at most ``bound`` rows
-    return stage(sample.select("label", "text", F.xxhash64("text").alias("hash")).dropDuplicates(["hash", "label"]),
-                 "labelled")
+    # one row per id, however often it is repeated: at most ``bound`` rows
+    sample = rows.join(F.broadcast(chosen), key).groupBy(key).agg(
+        F.max("label").alias("label"), F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return stage(sample.select("label", "least.text", "least.hash").dropDuplicates(["hash", "label"]), "labelled")
 
 
 def _batch_pieces(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
