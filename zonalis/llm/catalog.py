@@ -8,6 +8,7 @@ from zonalis.llm import (
     ngram_join,
     packing,
     quality,
+    sentencepieces,
     suffix_dedup,
     toxicity,
     vector_dedup,
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_language": language.op8_language,
     "op9_packing": packing.op9_packing,
     "op10_quality": quality.op10_quality,
+    "op11_sentencepiece": sentencepieces.op11_sentencepiece,
     "pages_language": language.pages_language,
 }
 ORACLE = {
