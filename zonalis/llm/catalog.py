@@ -8,6 +8,7 @@ from zonalis.llm import (
     ngram_join,
     packing,
     quality,
+    repair,
     sentencepieces,
     suffix_dedup,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_packing": packing.op9_packing,
     "op10_quality": quality.op10_quality,
     "op11_sentencepiece": sentencepieces.op11_sentencepiece,
+    "op12_repair": repair.op12_repair,
     "pages_language": language.pages_language,
 }
 ORACLE = {
@@ -33,4 +35,5 @@ ORACLE = {
     "op2_chat": chat.OP2_SQL,
     "op3_ngram_join": ngram_join.OP3_SQL,
     "op7_vectors": vector_dedup.OP7_SQL,
+    "op12_repair": repair.OP12_SQL,
 }
