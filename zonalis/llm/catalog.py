@@ -1,6 +1,7 @@
 """Queries of the corpus operators with their SQL counterparts."""
 
 from zonalis.llm import (
+    alignment,
     bpe,
     chat,
     kneser_ney,
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality": quality.op10_quality,
     "op11_sentencepiece": sentencepieces.op11_sentencepiece,
     "op12_repair": repair.op12_repair,
+    "op13_alignment": alignment.op13_alignment,
     "pages_language": language.pages_language,
 }
 ORACLE = {
