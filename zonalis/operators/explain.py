@@ -1,11 +1,12 @@
 """Feature importances and explanations."""
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
-from zonalis.operators.models import probabilities
+from zonalis.operators.models import probabilities, ridge
 
 
 def feature_names(df: DataFrame, column: str = "features") -> list[str]:
@@ -22,6 +23,13 @@ def top_features(df: DataFrame, model, k: int = 20) -> DataFrame:
     return table.orderBy(F.desc("importance"), "feature").limit(k)
 
 
+def fitted_weights(train: DataFrame, columns: list[str], label: str = fixed.TARGET, alpha: float = 1.0) -> dict[str, float]:
+    """Ridge weights of the label on the columns, from the rows that have them all."""
+    rows = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(train)
+    rows = rows.select(F.col(label).alias("y"), "features").where("y IS NOT NULL")
+    return dict(zip(columns, (float(w) for w in ridge(rows, alpha).fit(rows).coefficients), strict=True))
+
+
 def linear_contributions(test: DataFrame, train: DataFrame, weights: dict[str, float], k: int = 20) -> DataFrame:
     """Mean absolute coef * (x - train mean) per feature, largest first."""
     means = train.agg(F.struct(*[F.avg(c).alias(c) for c in weights])).scalar()

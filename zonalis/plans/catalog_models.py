@@ -15,6 +15,7 @@ from zonalis.operators import (
     forecasting,
     models,
     search,
+    trees,
     whatif,
 )
 from zonalis.plans import jobs
@@ -126,6 +127,39 @@ def perm_importance(spark, sf_dir):
     return rows
 
 
+def _explained(spark, sf_dir, make):
+    """A tree model of the panel, its node arrays, and the test rows."""
+    _, train, test = _tables(spark, sf_dir)
+    model = make().fit(train)
+    names = explain.feature_names(train)
+    kept = stage(test, "test")
+    train.unpersist()
+    test.unpersist()
+    return model, trees.from_model(model, spark), kept, names
+
+
+def tree_contributions(spark, sf_dir):
+    """The 20 features with the largest mean contribution to the probability of high risk, on all test rows."""
+    _, ensemble, test, names = _explained(spark, sf_dir, lambda: models.forest_classifier(**FOREST))
+    high = fixed.RISK_LABELS.index("High")
+    return shown(trees.mean_contributions(trees.explain(ensemble, test, high), names), 9, "mean_abs")
+
+
+def tree_contribution_facts(spark, sf_dir):
+    """Per test row: contributions add up to the model's own output less the expectation, for a forest's
+    probability of high risk and for a boosted level."""
+    high, found = fixed.RISK_LABELS.index("High"), []
+    for name, make, output in [("forest", lambda: models.forest_classifier(**FOREST), high),
+                               ("boosted", lambda: models.boosted_regressor(**BOOSTED), 0)]:
+        model, ensemble, test, _ = _explained(spark, sf_dir, make)
+        scored = model.transform(test)
+        own = models.probabilities(scored)[high] if name == "forest" else F.col("prediction")
+        rows = trees.explain(ensemble, scored.withColumn("own", own), output, keep=("zone", "date", "own"))
+        total = F.aggregate("contributions", F.col("base"), lambda a, x: a + x)
+        found.append(rows.select(F.lit(name).alias("model"), "zone", "date", (F.abs(total - F.col("own")) < 1e-9).cast("int").alias("adds_up")))
+    return found[0].unionByName(found[1])
+
+
 def model_roundtrip(spark, sf_dir):
     """Predictions of a pipeline before and after saving and loading it."""
     train, test = jobs.split_features(zone_panel(spark, sf_dir))
@@ -303,6 +337,8 @@ QUERIES = {
         random_search,
         top_features,
         perm_importance,
+        tree_contributions,
+        tree_contribution_facts,
         model_roundtrip,
         risk_scoring,
         whatif_score,
@@ -335,6 +371,12 @@ ORACLE = {
         f"""ranked AS (SELECT zone, date, risk_level, row_number() OVER {W} AS rn FROM panel),
         kept AS (SELECT zone, date FROM ranked WHERE rn > 12 AND risk_level IS NOT NULL)""",
     ),
+    "tree_contribution_facts": over_panel(
+        """SELECT model, zone, date, 1 AS adds_up FROM kept, (SELECT max(date) - INTERVAL 3 YEAR AS edge FROM kept),
+        (VALUES ('forest'), ('boosted')) AS m(model) WHERE date > edge""",
+        f"""ranked AS (SELECT zone, date, risk_level, row_number() OVER {W} AS rn FROM panel),
+        kept AS (SELECT zone, date FROM ranked WHERE rn > 12 AND risk_level IS NOT NULL)""",
+    ),
     "forecast_files": over_panel(
         """SELECT zone, cast(unnest(generate_series(max(date) + INTERVAL 1 MONTH, max(date) + INTERVAL 24 MONTH,
         INTERVAL 1 MONTH)) AS date) AS date, 1 AS same FROM panel GROUP BY zone"""

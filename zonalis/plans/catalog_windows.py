@@ -174,20 +174,14 @@ def recursive_forecast(spark, sf_dir):
     return shown(timeseries.recursive_forecast(zone_panel(spark, sf_dir)), 6, "predicted_gw")
 
 
-CONTRIBUTION_WEIGHTS = {
-    "rainfall_mm": -0.02,
-    "temperature_c": 0.15,
-    "urban_fraction": 4.0,
-    "population_density": 0.0005,
-    "ndvi": -2.5,
-    "soil_permeability": -1.25,
-}
+CONTRIBUTION_COLUMNS = ["rainfall_mm", "temperature_c"]
 
 
 def linear_contrib(spark, sf_dir):
     rows = stage(selection.split_by_time(customer_panel(spark, sf_dir)))
     test, train = rows.filter("role = 'test'"), rows.filter("role = 'train'")
-    return shown(explain.linear_contributions(test, train, CONTRIBUTION_WEIGHTS), 6, "mean_abs")
+    weights = explain.fitted_weights(train, CONTRIBUTION_COLUMNS)
+    return shown(explain.linear_contributions(test, train, weights), 6, "mean_abs")
 
 
 def whatif_vector(spark, sf_dir):
@@ -374,10 +368,11 @@ _DF = f"""pairs AS (SELECT zone, groundwater_level AS x, lag(groundwater_level)
   tests AS (SELECT zone, n, b, b / sqrt((syy - b * sxy) / (n - 2) / sxx) AS t,
     -2.86154e0 - 2.8903e0 / n - 4.234e0 / (n * n) - 40.04e0 / (n * n * n) AS crit FROM fit)"""
 
+# ridge weights of level on both columns with a penalty of one, from centred sums of the training rows
 _CONTRIB = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, avg(abs(({c} - (SELECT avg({c}) FROM customers, cut WHERE date <= edge)) "
-    f"* ({w}e0))) AS v FROM customers, cut WHERE date > edge"
-    for c, w in CONTRIBUTION_WEIGHTS.items()
+    f"SELECT '{c}' AS feature, avg(abs(({c} - {m}) * {w} / det)) AS v "
+    "FROM customers, cut, (SELECT *, (s11 + 1) * (s22 + 1) - s12 * s12 AS det FROM sums) WHERE date > edge"
+    for c, m, w in [("rainfall_mm", "m1", "((s22 + 1) * b1 - s12 * b2)"), ("temperature_c", "m2", "((s11 + 1) * b2 - s12 * b1)")]
 )
 
 _SCENARIO = """base AS (SELECT zone, arg_max(rainfall_mm, date) AS rain0, arg_max(temperature_c, date) AS temp0,
@@ -532,6 +527,10 @@ ORACLE = {
     "linear_contrib": over_customers(
         f"SELECT feature, {r('v', 6)} AS mean_abs FROM ({_CONTRIB})",
         "cut AS (SELECT max(date) - INTERVAL 3 YEAR AS edge FROM customers)",
+        """sums AS (SELECT avg(rainfall_mm) AS m1, avg(temperature_c) AS m2, var_pop(rainfall_mm) * count(*) AS s11,
+        var_pop(temperature_c) * count(*) AS s22, covar_pop(rainfall_mm, temperature_c) * count(*) AS s12,
+        covar_pop(rainfall_mm, groundwater_level) * count(*) AS b1,
+        covar_pop(temperature_c, groundwater_level) * count(*) AS b2 FROM customers, cut WHERE date <= edge)""",
     ),
     "whatif_vector": over_panel(
         f"""SELECT zone, latitude, longitude, is_coastal, cast(CASE soil_type WHEN 'Alluvial' THEN 0 WHEN 'Clayey'
