@@ -13,6 +13,7 @@ from zonalis.operators import (
     evaluation,
     explain,
     forecasting,
+    likelihood,
     models,
     search,
     trees,
@@ -282,6 +283,30 @@ def arima_ar_fits(spark, sf_dir):
     return shown(fits.select("zone", "p", "d", "q", "n", "aic", weight.alias("weight")), 6, "aic", "weight")
 
 
+def likelihood_ar_fits(spark, sf_dir):
+    """The same candidates by exact likelihood, whose optimum is the least-squares one there."""
+    regular = forecasting.regular_series(zone_panel(spark, sf_dir)).withColumn("fit_rows", F.col("series_rows"))
+    fits = likelihood.candidate_fits(regular).filter("q = 0 and p <= 1")
+    weight = F.when(F.col("p") == 1, F.col("weights")[0])
+    return shown(shown(fits.select("zone", "p", "d", "q", "n", "aic", weight.alias("weight")), 5, "aic"), 4, "weight")
+
+
+def likelihood_facts(spark, sf_dir):
+    """Every order of every zone: its criterion is no worse than that of the least-squares weights."""
+    regular = forecasting.regular_series(zone_panel(spark, sf_dir)).withColumn("fit_rows", F.col("series_rows"))
+    fits = likelihood.candidate_fits(regular)
+    sound = (F.col("aic") <= F.coalesce("start_aic", F.lit(float("inf"))) + 1e-9) & F.col("aic").isNotNull()
+    return fits.select("zone", "p", "d", "q", sound.cast("int").alias("not_worse"))
+
+
+def likelihood_eval(spark, sf_dir):
+    return shown(likelihood.backtest_metrics(zone_panel(spark, sf_dir)), 6, "RMSE", "MAE", "R2")
+
+
+def likelihood_future(spark, sf_dir):
+    return shown(likelihood.future(zone_panel(spark, sf_dir)), 6, "predicted_gw")
+
+
 def arima_eval(spark, sf_dir):
     return shown(forecasting.backtest_metrics(zone_panel(spark, sf_dir)), 6, "RMSE", "MAE", "R2")
 
@@ -353,6 +378,10 @@ QUERIES = {
         anomaly_report,
         arima_order,
         arima_ar_fits,
+        likelihood_ar_fits,
+        likelihood_facts,
+        likelihood_eval,
+        likelihood_future,
         arima_eval,
         arima_future,
         forecast_files,
@@ -414,4 +443,20 @@ ORACLE = {
         sums AS (SELECT zone, d, count(*) AS n, sum(w * w) AS ww, sum(w * w1) AS c, sum(w1 * w1) AS v
           FROM pairs WHERE rn >= 10 GROUP BY 1, 2)""",
     ),
+    "likelihood_ar_fits": over_panel(
+        f"""SELECT zone, 0 AS p, 1 AS d, 0 AS q, n, {r('n * ln(ww / n) + 2', 5)} AS aic, NULL AS weight
+        FROM sums WHERE d = 1 UNION ALL
+        SELECT zone, 1, d, 0, n, {r('n * ln((ww - c * c / v) / n) + 4', 5)}, {r('c / v', 4)} FROM sums""",
+        "kept AS (SELECT zone, date, groundwater_level AS v FROM panel)",
+        FILLED,
+        f"""numbered AS (SELECT zone, date, x, x - lag(x) OVER {W} AS dx, row_number() OVER {W} AS rn FROM filled),
+        pairs AS (SELECT zone, 0 AS d, rn, x AS w, lag(x) OVER {W} AS w1 FROM numbered
+          UNION ALL SELECT zone, 1, rn, dx, lag(dx) OVER {W} FROM numbered),
+        sums AS (SELECT zone, d, count(*) AS n, sum(w * w) AS ww, sum(w * w1) AS c, sum(w1 * w1) AS v
+          FROM pairs WHERE rn >= 10 GROUP BY 1, 2)""",
+    ),
+    "likelihood_facts": over_panel(
+        """SELECT zone, p, d, q, 1 AS not_worse FROM (SELECT DISTINCT zone FROM panel),
+        (SELECT unnest([0, 1, 2]) AS p), (SELECT unnest([0, 1]) AS d), (SELECT unnest([0, 1, 2]) AS q) WHERE p + d + q > 0"""
+    ),
 }

@@ -9,7 +9,7 @@ from zonalis.functions import fixed
 from zonalis.operators import (
     anomaly,
     evaluation,
-    forecasting,
+    likelihood,
     models,
     scenarios,
     search,
@@ -159,7 +159,7 @@ def run_all(
         scored = models.direct_multistep(chosen).withColumn("model", F.concat(F.lit("step "), "step"))
         out.append(rows("sequences", evaluation.regression_metrics(scored), "model", ["RMSE", "MAE", "R2"]))
     if "arima" in steps:
-        out.append(rows("arima", forecasting.backtest_metrics(chosen), "model", ["RMSE", "MAE", "R2"]))
+        out.append(rows("arima", likelihood.backtest_metrics(chosen), "model", ["RMSE", "MAE", "R2"]))
     if "classifiers" in steps:
         board = train_classifiers(table, effort).filter("label = 'macro avg'")
         out.append(rows("classifiers", board, "model", ["f1"]))
