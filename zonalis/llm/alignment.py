@@ -25,6 +25,8 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +37,9 @@ from zonalis.llm.common import table, text_batches
 from zonalis.session import stage
 
 #: Bytes of text that are aligned at once, and whose pairs are counted at once.
-PIECE, BLOCK = 1 << 20, 1 << 24
+PIECE, BLOCK = 1 << 19, 1 << 23
+#: Blocks that a task of the second pass reads, and chunks that a worker's encoder keeps.
+TASK_BLOCKS, ROOM = 4, 250_000
 
 
 class Left:
@@ -44,7 +48,7 @@ class Left:
     def __init__(self, definition: str):
         decoder = bpe.Decoder(definition)
         self.bytes, self.lengths = decoder.bytes, decoder.lengths
-        self.encoder = bpe.Encoder(definition)
+        self.encoder = bpe.Encoder(definition, room=ROOM)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         # the letter is a match of its own before the space, whatever follows
@@ -182,12 +186,22 @@ def width(size: int) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
 
-STAGED = "block bigint, key {kind}, left_ids binary, right_ids binary, code bigint, links bigint"
-_NAMES = ["block", "key", "left_ids", "right_ids", "code", "links"]
+STAGED = "block bigint, keys array<{kind}>, sizes binary, left_ids binary, right_ids binary, code bigint, links bigint"
+_NAMES = ["block", "keys", "sizes", "left_ids", "right_ids", "code", "links"]
+
+
+def packed(parts: list[np.ndarray], kind: str) -> bytes:
+    """Ids end to end, compressed: they are written twice on their way."""
+    return zstandard.ZstdCompressor(level=3).compress(joined(parts).astype(kind).tobytes())
+
+
+def unpacked(blob: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), kind).astype("<u4")
 
 
 def encode_blocks(df: DataFrame, definition: str, model: bytes, key: str, text: str) -> DataFrame:
-    """Two kinds of rows: a text's ids, and a pair of ids (``code``) with its number of links in a block."""
+    """Two kinds of rows: the keys, sizes and ids of a piece of texts, and a pair of ids (``code``) with
+    its number of links in a block of pieces."""
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     sent = df.sparkSession.sparkContext.broadcast((definition, model))  # bounded by the vocabularies
@@ -198,24 +212,25 @@ def encode_blocks(df: DataFrame, definition: str, model: bytes, key: str, text:
         block, held = TaskContext.get().partitionId() << 32, 0
         seen: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            sizes = [len(t or "") for t in texts]
-            for part in parts_of(sizes, PIECE):
-                a, b = tokens(texts[part], left, right)
-                flat = joined(a), joined(b)
-                aligned = Alignment(left.lengths[flat[0]], right.lengths[flat[1]], bounds(a), bounds(b))
+            key_type = batch.schema.field("key").type
+            lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+            for part in parts_of(lengths, PIECE):
+                a, b = tokens(batch.column("text")[part.start : part.stop].to_pylist(), left, right)
+                flat, first = (joined(a), joined(b)), (bounds(a), bounds(b))
+                aligned = Alignment(left.lengths[flat[0]], right.lengths[flat[1]], *first)
                 seen.append(np.unique(np.concatenate(aligned.codes(*flat, size)), return_counts=True))
-                n, packed = len(a), [[x.astype(k).tobytes() for x in s] for s, k in zip((a, b), kinds, strict=True)]
-                none = pa.nulls(n, pa.int64())
+                keys = pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), batch.column("key")[part.start : part.stop])
+                blobs = [np.concatenate([np.diff(f) for f in first]).astype("<u4").tobytes(),
+                         *(packed(x, k) for x, k in zip((a, b), kinds, strict=True))]
+                none = pa.nulls(1, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * n, pa.int64()), batch.column("key")[part.start : part.stop],
-                     *(pa.array(p, pa.binary()) for p in packed), none, none], _NAMES)
-                held += sum(sizes[part])
+                    [pa.array([block]), keys, *(pa.array([x], pa.binary()) for x in blobs), none, none], _NAMES)
+                held += sum(lengths[part])
                 if held >= BLOCK:
-                    yield pair_rows(seen, block, batch.schema.field("key").type)
+                    yield pair_rows(seen, block, key_type)
                     seen, held, block = [], 0, block + 1
         if seen:
-            yield pair_rows(seen, block, batch.schema.field("key").type)
+            yield pair_rows(seen, block, key_type)
 
     return rows.mapInArrow(run, STAGED.format(kind=kind))
 
@@ -227,7 +242,7 @@ def pair_rows(seen: list[tuple[np.ndarray, np.ndarray]], block: int, kind: pa.Da
     np.add.at(links, place, np.concatenate([n for _, n in seen]))
     n = len(codes)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, block)), pa.nulls(n, kind), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
+        [pa.array(np.full(n, block)), pa.nulls(n, pa.list_(kind)), *[pa.nulls(n, pa.binary())] * 3,
          pa.array(codes), pa.array(links)], _NAMES)
 
 
@@ -250,9 +265,13 @@ def align(df: DataFrame, definition: str, model: bytes, key: str = "doc_id", tex
     best = totals.groupBy("right").agg(F.max("total").alias("most"))  # at most a row per id
     known = totals.join(F.broadcast(best), "right").select("code", "total", (F.col("total") == F.col("most")).alias("best"))
     answers = pairs.select(F.col("block").alias("asked"), "code").join(known.hint("merge"), "code")
-    texts = staged.where("code IS NULL").select("block", "key", "left_ids", "right_ids")
+    texts = staged.where("code IS NULL").select("block", "keys", "sizes", "left_ids", "right_ids")
+    # a group is a block, whatever the input; the number of tasks follows the number of blocks
+    blocks = texts.agg(F.count_distinct("block")).first()[0]
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-blocks // TASK_BLOCKS))
+    texts, answers = texts.repartition(tasks, "block"), answers.repartition(tasks, "asked")
     sent = df.sparkSession.sparkContext.broadcast((definition, model))
-    kind = texts.schema["key"].dataType.simpleString()
+    kind = texts.schema["keys"].dataType.elementType.simpleString()
 
     def count(texts: pa.Table, answers: pa.Table) -> pa.Table:
         left, right = worker_left(sent.value[0]), worker_right(sent.value[1])
@@ -260,21 +279,21 @@ def align(df: DataFrame, definition: str, model: bytes, key: str = "doc_id", tex
         codes, total, best = (answers.column(c).to_numpy() for c in ("code", "total", "best"))
         order = np.argsort(codes)
         codes, total, best = codes[order], total[order], best[order]
-        columns = [[] for _ in range(7)]
-        packed = [texts.column(c).to_pylist() for c in ("left_ids", "right_ids")]
-        for part in parts_of([len(x) * 4 for x in packed[0]], PIECE):
-            a, b = ([np.frombuffer(x, k).astype("<u4") for x in side[part]] for side, k in zip(packed, kinds, strict=True))
-            flat = joined(a), joined(b)
-            aligned = Alignment(left.lengths[flat[0]], right.lengths[flat[1]], bounds(a), bounds(b))
+        columns = [[] for _ in _COUNTED]
+        for sizes, a, b in zip(*(texts.column(c) for c in ("sizes", "left_ids", "right_ids")), strict=True):
+            flat = unpacked(a.as_py(), kinds[0]), unpacked(b.as_py(), kinds[1])
+            counts = np.frombuffer(sizes.as_py(), "<u4").astype(np.int64).reshape(2, -1)
+            first = [np.concatenate([[0], np.cumsum(c)]) for c in counts]
+            aligned = Alignment(left.lengths[flat[0]], right.lengths[flat[1]], *first)
             places = [np.searchsorted(codes, c) for c in aligned.codes(*flat, right_size)]
-            numbers = [np.diff(aligned.left_first), np.diff(aligned.right_first), np.diff(aligned.group_first),
-                       np.diff(aligned.left_first) + np.diff(aligned.inner_first),
+            numbers = [*counts, np.diff(aligned.group_first), counts[0] + np.diff(aligned.inner_first),
                        aligned.sums(*(best[p] for p in places)), aligned.sums(*(total[p] for p in places))]
             for column, values in zip(columns, numbers, strict=False):
                 column.append(pa.array(values.astype(np.int64)))
             columns[6].append(pa.array(aligned.shown(*flat, printed), pa.string()))
         types = [pa.int64()] * 6 + [pa.string()]
-        return pa.Table.from_arrays([texts.column("key"), *(pa.chunked_array(c, t) for c, t in zip(columns, types, strict=True))],
+        keys = pa.chunked_array([x.flatten() for x in texts.column("keys").chunks], texts.schema.field("keys").type.value_type)
+        return pa.Table.from_arrays([keys, *(pa.chunked_array(c, t) for c, t in zip(columns, types, strict=True))],
                                     ["key", *_COUNTED])
 
     made = texts.groupBy("block").cogroup(answers.groupBy("asked")).applyInArrow(count, f"key {kind}, {ALIGNED}")
