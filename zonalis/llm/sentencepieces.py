@@ -34,7 +34,9 @@ from zonalis.llm.common import table, text_batches
 
 SPACE = "▁"
 #: Distinct chunks and pairs of pieces that a worker keeps; beyond it they are worked out anew.
-CACHE_CHUNKS, CACHE_PAIRS = 700_000, 2_000_000
+CACHE_CHUNKS, CACHE_PAIRS = 300_000, 1_000_000
+#: Texts whose ids are Python numbers at once.
+DECODED_AT_ONCE = 100
 ID = "<i4"
 
 
@@ -264,8 +266,11 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", out: str = "decoded")
     def plain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         processor = worker_processor(sent.value)
         for batch in batches:
-            lists = [x.as_py() or [] for x in batch]
-            yield pa.array(processor.decode(lists, num_threads=1) if lists else [], pa.string())
+            texts: list[str] = []
+            for start in range(0, len(batch), DECODED_AT_ONCE):
+                lists = [ids or [] for ids in batch[start : start + DECODED_AT_ONCE].to_pylist()]
+                texts.extend(processor.decode(lists, num_threads=1))
+            yield pa.array(texts, pa.string())
 
     return df.withColumn(out, plain(F.col(f"`{ids}`")))
 
