@@ -2,14 +2,17 @@
 
 import itertools
 import random
+from dataclasses import replace
+from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
-from zonalis.operators import evaluation, models
+from zonalis.operators import boosting, evaluation, models
 from zonalis.operators.selection import stratified_folds, with_date_ranks
+from zonalis.session import stage
 
 
 def draw(grid: dict[str, list], draws: int, seed: int = fixed.SEED) -> list[dict]:
@@ -84,6 +87,38 @@ def search_regressor(
     return _summary(name, settings, scores)
 
 
+def search_boosting(
+    train: DataFrame, draws: int = fixed.REGRESSION_DRAWS, folds: int = 5, grid: dict | None = None,
+    most_rounds: int | None = None,
+) -> list[dict]:
+    """Mean RMSE over expanding-window folds for each draw of second-order boosting.
+
+    All draws of all folds grow in the same passes, so a search needs as many as its largest model.
+    ``most_rounds`` bounds the rounds of every draw.
+    """
+    ranked = with_date_ranks(train)
+    some = ranked.first()
+    size = (some["n_dates"] if some else 0) // (folds + 1)
+    first = (some["n_dates"] if some else 0) - folds * size
+    rank = F.col("date_rank")
+    # a row belongs to the fold that it is held out in; later folds do not see it before
+    held = F.when(rank < first, boosting.ALL_ROWS - 1).otherwise(F.floor((rank - first) / F.lit(max(size, 1)))).cast("int")
+    table = stage(ranked.withColumn("held", held), "folds")
+    drawn_settings = draw(grid or fixed.BOOSTED_COLUMN_GRID, draws)
+    tasks = list(itertools.product(range(len(drawn_settings)), range(folds)))
+    made = boosting.fit(table, [replace(boosting_settings(drawn_settings[n], most_rounds), until=f) for n, f in tasks], fold="held")
+    scored = [boosting.predict(model, table.where(F.col("held") == f), f"{n}:{f}") for (n, f), model in zip(tasks, made, strict=True)]
+    report = evaluation.regression_metrics(reduce(DataFrame.unionByName, scored))
+    scores = [(*map(int, row["model"].split(":")), row["RMSE"]) for row in report.collect()]
+    return _summary("Second_Order_Boosting", drawn_settings, scores)
+
+
+def boosting_settings(params: dict, most_rounds: int | None = None) -> boosting.Settings:
+    rounds = min(params["maxIter"], most_rounds or params["maxIter"])
+    return boosting.Settings(rounds, params["maxDepth"], params["stepSize"], params.get("subsamplingRate", 1.0),
+                             float(params.get("featureSubsetStrategy", 1.0)))
+
+
 def search_classifier(
     name: str,
     train: DataFrame,

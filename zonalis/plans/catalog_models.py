@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from zonalis.functions import fixed
 from zonalis.operators import (
     anomaly,
+    boosting,
     evaluation,
     explain,
     forecasting,
@@ -161,6 +162,50 @@ def tree_contribution_facts(spark, sf_dir):
     return found[0].unionByName(found[1])
 
 
+STUMP_COLUMNS = ["month", "year", "is_coastal", "soil_permeability"]
+
+
+def boosted_stump(spark, sf_dir):
+    """The one split of a single second-order tree over all customer months, and the levels on its sides."""
+    rows = customer_panel(spark, sf_dir).select(
+        "zone", "date", F.month("date").alias("month"), F.year("date").alias("year"), "is_coastal", "soil_permeability",
+        F.col("groundwater_level").alias("y"))
+    table = VectorAssembler(inputCols=STUMP_COLUMNS, outputCol="features").transform(rows)
+    [model] = boosting.fit(table, boosting.Settings(rounds=1, depth=1, rate=1.0))
+    t = model.trees
+    levels = [float(t.offset[0] + t.value[side[0], 0]) for side in (t.left, t.right)]
+    found = [(STUMP_COLUMNS[int(t.feature[0])], float(t.threshold[0]), *levels)]
+    return shown(spark.createDataFrame(found, "feature string, threshold double, low_level double, high_level double"),
+                 5, "low_level", "high_level")
+
+
+def second_order_eval(spark, sf_dir):
+    """Second-order boosting of the level with subsets of rows and features."""
+    _, train, test = _tables(spark, sf_dir)
+    [model] = boosting.fit(train, boosting.Settings(rounds=40, depth=4, subsample=0.8, columns=0.8))
+    train.unpersist()
+    test.unpersist()
+    return _metrics(boosting.predict(model, test, "Second_Order_Boosting"))
+
+
+def softmax_eval(spark, sf_dir):
+    """One ensemble over the three classes."""
+    _, train, test = _tables(spark, sf_dir)
+    [model] = boosting.fit(train, boosting.Settings(rounds=20, depth=3), label="risk", classes=len(fixed.RISK_LABELS))
+    train.unpersist()
+    test.unpersist()
+    return _report(boosting.predict(model, test, "Softmax_Boosting"))
+
+
+def boosting_search(spark, sf_dir):
+    """Draws from the column-sampled grid, each on every expanding fold, grown in the same passes."""
+    _, train, test = _tables(spark, sf_dir)
+    found = search.search_boosting(train, draws=4, folds=3, most_rounds=12)
+    train.unpersist()
+    test.unpersist()
+    return shown(search.as_rows(spark, found), 6, "score")
+
+
 def model_roundtrip(spark, sf_dir):
     """Predictions of a pipeline before and after saving and loading it."""
     train, test = jobs.split_features(zone_panel(spark, sf_dir))
@@ -364,6 +409,10 @@ QUERIES = {
         perm_importance,
         tree_contributions,
         tree_contribution_facts,
+        boosted_stump,
+        second_order_eval,
+        softmax_eval,
+        boosting_search,
         model_roundtrip,
         risk_scoring,
         whatif_score,
@@ -400,6 +449,20 @@ ORACLE = {
         f"""ranked AS (SELECT zone, date, risk_level, row_number() OVER {W} AS rn FROM panel),
         kept AS (SELECT zone, date FROM ranked WHERE rn > 12 AND risk_level IS NOT NULL)""",
     ),
+    "boosted_stump": over_customers(
+        f"""SELECT feature, threshold, {r('mu + s / (n + 1)', 5)} AS low_level,
+        {r('mu + (all_s - s) / (all_n - n + 1)', 5)} AS high_level FROM (
+          SELECT *, s * s / (n + 1) + (all_s - s) * (all_s - s) / (all_n - n + 1) - all_s * all_s / (all_n + 1) AS gain
+          FROM (SELECT feature, j, v AS threshold, sum(s) OVER w AS s, sum(n) OVER w AS n, sum(s) OVER (PARTITION BY j) AS all_s,
+              sum(n) OVER (PARTITION BY j) AS all_n, row_number() OVER (PARTITION BY j ORDER BY v DESC) AS back
+            FROM cells WINDOW w AS (PARTITION BY j ORDER BY v)) WHERE back > 1), mean
+        ORDER BY gain DESC, j, threshold LIMIT 1""",
+        "mean AS (SELECT avg(groundwater_level) AS mu FROM customers)",
+        """cells AS (SELECT feature, j, v, sum(groundwater_level - mu) AS s, count(*) AS n FROM (
+          SELECT groundwater_level, unnest(['month', 'year', 'is_coastal', 'soil_permeability']) AS feature,
+            unnest([0, 1, 2, 3]) AS j, unnest([month(date)::double, year(date)::double, is_coastal::double,
+            soil_permeability]) AS v FROM customers), mean GROUP BY 1, 2, 3)""",
+    ),
     "tree_contribution_facts": over_panel(
         """SELECT model, zone, date, 1 AS adds_up FROM kept, (SELECT max(date) - INTERVAL 3 YEAR AS edge FROM kept),
         (VALUES ('forest'), ('boosted')) AS m(model) WHERE date > edge""",
