@@ -72,3 +72,30 @@ def test_query(spark, sf_small, reference):
         ids = np.array(reference.encode_ordinary(texts[r.doc_id]), "<u4")
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(ids.tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def by_ranks():
+    return bpe.RankEncoder(bpe.from_json(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@pytest.fixture(scope="module")
+def whole():
+    return bpe.Encoder(bpe.from_json(public_tokenizers.path("byte_bpe_50k.json"))).whole
+
+
+@pytest.mark.parametrize("text", [t for t in TEXTS if t] + ODD + [" " * 1_200_000])
+def test_rank_encoder_gives_the_ids_of_the_definition(by_ranks, whole, text):
+    assert by_ranks(text) == whole(text)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(" \n\t'sabA1.")), min_size=1))
+def test_rank_encoder_on_any_text(by_ranks, whole, text):
+    assert by_ranks(text) == whole(text)
+
+
+def test_other_definitions_have_no_rank_encoder(definition):
+    with pytest.raises(ValueError):
+        bpe.RankEncoder(definition)  # its pattern is a step of its own
+    assert isinstance(bpe.quick_encoder(definition), bpe.Encoder)

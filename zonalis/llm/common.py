@@ -7,8 +7,10 @@ process, so that they agree between executors.
 
 import ctypes
 import os
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +140,20 @@ def release() -> None:
         trim.malloc_trim(0)
 
 
+def worker_state(key: Hashable, make: Callable[[], object], keep: int = 4) -> object:
+    """What ``make`` gives, made once per worker process, at most ``keep`` things at a time.
+
+    Functions travel with the job by value, so a module's own variables end with the task; these do not.
+    """
+    held = sys.modules.setdefault("zonalis_worker_state", types.ModuleType("zonalis_worker_state")).__dict__
+    found = held.setdefault("found", {})
+    if key not in found:
+        while len(found) >= keep:
+            found.pop(next(iter(found)))
+        found[key] = make()
+    return found[key]
+
+
 def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true values."""
     edge = np.diff(np.concatenate([[0], flags.view(np.int8), [0]]))

@@ -2,7 +2,7 @@
 
 A document is its ids and a closing id. Whole windows of long documents are sequences of their own;
 what is left of each document is routed by content: all pieces of the input are ordered by their
-heaviest term that ``BROAD`` documents have, then by their heaviest that two have, then by their
+heaviest term that a share ``BROAD`` of all documents has, then by their heaviest that two have, then by their
 ids. Range partitions of that order are the tasks, so a hot term is divided by the next ones, and
 copies are neighbours wherever they lay in the input. A shard is some ``SHARD_TOKENS`` of
 neighbours in it, with an inverted index of their ids; pieces of other shards are not ranked.
@@ -28,14 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.llm import bpe
-from zonalis.llm.common import sum_vectors, table, text_batches
-from zonalis.session import stage
+from zonalis.llm.common import sum_vectors, table, text_batches, worker_state
+from zonalis.session import fresh_path
 
 WINDOW = 2048
 CLOSING = 1
 SHARD_TOKENS = 3_000_000
-#: Documents that a term needs to be the first by which pieces are routed: some of a shard's.
-BROAD = 1000
+#: Share of all documents that a term needs to be the first by which pieces are routed.
+BROAD = 1 / 256
 K1, B = 1.2, 0.75
 
 ENCODED = "key bigint, ids binary, frequencies binary"
@@ -48,7 +48,7 @@ def encode_documents(df: DataFrame, definition: str, key: str, text: str, closin
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = width(size)
-        encoder = bpe.Encoder(sent.value, dtype=kind)
+        encoder = worker_state(("packing", kind, sent.value), lambda: bpe.quick_encoder(sent.value, kind))
         end = np.array([closing], kind).tobytes()
         seen = np.zeros(size, np.int64)
         for batch in batches:
@@ -68,6 +68,13 @@ def encode_documents(df: DataFrame, definition: str, key: str, text: str, closin
     return rows.mapInArrow(run, ENCODED)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Staged with a codec that shrinks ids, which the default one does not."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def vocabulary_size(definition: str) -> int:
     return bpe.Tokenizer.from_str(definition).get_vocab_size(with_added_tokens=True)
 
@@ -80,13 +87,13 @@ ROUTED = "key bigint, ids binary, broad int, narrow int, digest bigint, place bi
 ROUTE = ["broad", "narrow", "digest", "place"]
 
 
-def heaviest(ids: np.ndarray, weights: np.ndarray, frequencies: np.ndarray) -> tuple[int, int]:
-    """The heaviest terms that ``BROAD`` and that two documents have, or -1."""
+def heaviest(ids: np.ndarray, weights: np.ndarray, frequencies: np.ndarray, broad: float) -> tuple[int, int]:
+    """The heaviest terms that ``broad`` and that two documents have, or -1."""
     terms, count = np.unique(ids, return_counts=True)
     weight = weights[terms] * count * (K1 + 1) / (count + K1)
     known = frequencies[terms]
     found = []
-    for least in (BROAD, 2):
+    for least in (broad, 2):
         some = np.flatnonzero(known >= least)
         found.append(int(terms[some[weight[some].argmax()]]) if len(some) else -1)
     return found[0], found[1]
@@ -96,21 +103,23 @@ def by_content(rows: DataFrame, sent, kind: str, window: int) -> DataFrame:
     """Keys and ids in the order of their routes, in range partitions of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf, frequencies = sent.value
+        idf, frequencies, documents = sent.value
+        broad = max(2.0, BROAD * documents)
         place = TaskContext.get().partitionId() << 32
         for batch in batches:
             routes = []
             for packed in batch.column("ids"):
                 ids = np.frombuffer(packed.as_py(), kind)
                 rest = ids[len(ids) // window * window :]
-                routes.append((*heaviest(rest, idf, frequencies), zlib.crc32(rest.tobytes()), place))
+                routes.append((*heaviest(rest, idf, frequencies, broad), zlib.crc32(rest.tobytes()), place))
                 place += 1
             columns = list(zip(*routes, strict=True)) if routes else [()] * 4
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()]
             made = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), *made], ["key", "ids", *ROUTE])
 
-    routed = rows.mapInArrow(run, ROUTED)
+    # written, as the range partitions' sample would work out all routes once more
+    routed = written(rows.mapInArrow(run, ROUTED), "routes")
     return routed.repartitionByRange(*ROUTE).sortWithinPartitions(*ROUTE).select("key", "ids")
 
 
@@ -259,14 +268,14 @@ def pack(df: DataFrame, definition: str, key: str = "doc_id", text: str = "text"
     spark = df.sparkSession
     text_batches(spark)
     size = vocabulary_size(definition)
-    encoded = stage(encode_documents(df, definition, key, text, closing), "ids")
+    encoded = written(encode_documents(df, definition, key, text, closing), "ids")
     parts = encoded.where("frequencies IS NOT NULL").select(F.lit(0).alias("all"), "frequencies")
     total = np.zeros(size, np.int64)
     for row in sum_vectors(parts, "all", "frequencies", "<u8").collect():  # one row, as long as the vocabulary
         total = np.frombuffer(row["frequencies"], "<u8").astype(np.int64)
     documents = int(total[closing]) if len(total) > closing else 0
     idf = np.log1p((documents - total + 0.5) / (total + 0.5))
-    sent = spark.sparkContext.broadcast((idf, total))
+    sent = spark.sparkContext.broadcast((idf, total, documents))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, base = width(size), TaskContext.get().partitionId() << 32
