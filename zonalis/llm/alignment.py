@@ -19,7 +19,6 @@ spell the text, such as those with U+2581. Repeated rows are texts of their own
 each. Columns other than key and text are not read. An empty table gives no rows.
 """
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from zonalis.llm import bpe, sentencepieces
-from zonalis.llm.common import table, text_batches
+from zonalis.llm.common import table, text_batches, worker_state
 from zonalis.session import stage
 
 #: Bytes of text that are aligned at once, and whose pairs are counted at once.
@@ -48,7 +47,7 @@ class Left:
     def __init__(self, definition: str):
         decoder = bpe.Decoder(definition)
         self.bytes, self.lengths = decoder.bytes, decoder.lengths
-        self.encoder = bpe.Encoder(definition, room=ROOM)
+        self.encoder = bpe.quick_encoder(definition, room=ROOM)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         # the letter is a match of its own before the space, whatever follows
@@ -72,15 +71,13 @@ class Right:
         return [np.array(ids, "<u4") for ids in self.processor.encode(texts, num_threads=1)]
 
 
-@functools.lru_cache(maxsize=2)
 def worker_left(definition: str) -> Left:
-    """One per worker process, so that its cache serves all its tasks."""
-    return Left(definition)
+    """One per worker process."""
+    return worker_state(("alignment left", definition), lambda: Left(definition))
 
 
-@functools.lru_cache(maxsize=2)
 def worker_right(model: bytes) -> Right:
-    return Right(model)
+    return worker_state(("alignment right", model), lambda: Right(model))
 
 
 def jump(pointers: np.ndarray) -> np.ndarray:
@@ -144,9 +141,9 @@ class Alignment:
         return ["".join(parts[a:b].tolist())[:-1] for a, b in zip(first, first[1:], strict=False)]
 
 
-@functools.lru_cache(maxsize=2)
 def printed_ids(size: int) -> np.ndarray:
-    return np.array([f"{i}{mark}" for i in range(size) for mark in ",|;"], object)
+    make = lambda: np.array([f"{i}{mark}" for i in range(size) for mark in ",|;"], object)
+    return worker_state(("printed ids", size), make)
 
 
 def bounds(parts: list[np.ndarray]) -> np.ndarray:

@@ -16,7 +16,6 @@ has none. Null and empty texts have no ids. The model must be of merge type, wit
 white-space trimming, user-defined or unused pieces; others are refused.
 """
 
-import functools
 import re
 from collections.abc import Iterator
 from itertools import pairwise
@@ -30,11 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
-from zonalis.llm.common import table, text_batches
+from zonalis.llm.common import table, text_batches, worker_state
 
 SPACE = "▁"
 #: Distinct chunks and pairs of pieces that a worker keeps; beyond it they are worked out anew.
-CACHE_CHUNKS, CACHE_PAIRS = 300_000, 1_000_000
+CACHE_CHUNKS, CACHE_PAIRS = 450_000, 1_000_000
 #: Texts whose ids are Python numbers at once.
 DECODED_AT_ONCE = 100
 ID = "<i4"
@@ -227,15 +226,13 @@ class Encoder:
         return b"".join(parts)
 
 
-@functools.lru_cache(maxsize=2)
 def worker_encoder(model: bytes) -> Encoder:
     """One encoder per worker process, so that its caches serve all its tasks."""
-    return Encoder(model)
+    return worker_state(("sentencepiece encoder", model), lambda: Encoder(model))
 
 
-@functools.lru_cache(maxsize=2)
 def worker_processor(model: bytes) -> sentencepiece.SentencePieceProcessor:
-    return sentencepiece.SentencePieceProcessor(model_proto=model)
+    return worker_state(("sentencepiece", model), lambda: sentencepiece.SentencePieceProcessor(model_proto=model))
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:
