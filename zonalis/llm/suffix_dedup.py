@@ -38,6 +38,8 @@ PART = 1 << 22
 PIECE = 1 << 18
 #: Anchors a task holds before it sorts them and sends them on.
 FLUSH = 500_000
+#: Bytes of text for which there is a shard at least; results do not depend on it.
+SHARD_BYTES = 1 << 22
 #: Contexts of a shard that are sorted at a time; those of one anchor stay together.
 SORTED_AT_ONCE = 20_000
 
@@ -393,20 +395,23 @@ def judge_contexts(sent: DataFrame, length: int) -> DataFrame:
         kind[order] = np.cumsum(fresh) - 1
         chosen = order[fresh]  # with the smallest id
         names = anchor[chosen]
-        firsts, start = [], 0
+        runs_of, firsts_of, counts, start = [], [], [], 0
         while start < len(chosen):
             stop = min(len(chosen), start + SORTED_AT_ONCE)
             stop = int(np.searchsorted(names, names[stop - 1], "right"))
             some = chosen[start:stop]
             part = blob[ranges(at[some], size[some])]
-            firsts.append(first_documents(part, size[some], low[some], length))
+            first = first_documents(part, size[some], low[some], length)
+            # only runs of strings with one first document outlive a part
+            owner = np.repeat(np.arange(len(some)), strings[some])
+            edge = np.flatnonzero(_starts(owner, first))
+            runs_of.append(np.diff(np.concatenate([edge, [len(first)]])).astype(np.uint32))
+            firsts_of.append(first[edge])
+            counts.append(np.bincount(owner[edge], minlength=len(some)))
             start = stop
-        first = np.concatenate(firsts)
-        owner = np.repeat(np.arange(len(chosen)), strings[chosen])
-        edge = np.flatnonzero(_starts(owner, first))
-        run = np.diff(np.concatenate([edge, [len(first)]]))
-        run_owner, run_first = owner[edge], first[edge]
-        from_run = np.searchsorted(run_owner, np.arange(len(chosen) + 1))
+        run, run_first = np.concatenate(runs_of), np.concatenate(firsts_of)
+        del blob, runs_of, firsts_of, first, owner, edge
+        from_run = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
         least = np.minimum.reduceat(run_first, from_run[:-1])
         useful = np.flatnonzero(least[kind] < high)  # others lose nothing
         useful = useful[np.lexsort((digest[useful], bucket[useful]))]
@@ -419,7 +424,7 @@ def judge_contexts(sent: DataFrame, length: int) -> DataFrame:
             {"digest": digest[useful].astype("<u8"), "anchor": anchor[useful].astype("<u8"), "n_runs": count.astype("<u4")},
             {"run": lambda a, b: run[pick[before[a] : before[b]]].astype("<u4").tobytes(),
              "first": lambda a, b: run_first[pick[before[a] : before[b]]].astype("<i8").tobytes()})
-        del held, blob, firsts, first, owner
+        del held, run, run_first, pick
         release()
         yield pa.RecordBatch.from_pydict(made)
 
@@ -486,7 +491,8 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
         raise ValueError(f"length must be at least {GRAM + 2}")
     spark = df.sparkSession
     text_batches(spark)
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = df.agg(F.sum(F.octet_length(F.col(f"`{text}`").cast("string")))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // SHARD_BYTES + 1)
     identity = F.col(f"`{key}`").cast("bigint")
     bucket = F.pmod(F.xxhash64(F.coalesce(identity, F.xxhash64(F.col(f"`{text}`")))), F.lit(shards)).cast("int")
     others = [c for c in df.columns if c not in (text, "kept", "removed")]
