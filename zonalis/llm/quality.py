@@ -260,13 +260,17 @@ def verdict(rules: list[Rule]) -> Column:
 
 def fit(counts: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality",
         bound: int = LABELLED_BOUND, **options) -> list[Rule]:
-    """Rules from a labelled sample of at most ``bound`` rows; null labels and keys are left out."""
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(key, label)
+    """Rules from a labelled sample of at most ``bound`` ids; null labels and keys are left out.
+
+    Of an id's rows the one with the least statistics counts, with the least of the id's labels.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.min(label).alias(label))
     sample = known.orderBy(hashed_rank(key), key).limit(bound)
     asked = features()
-    rows = counts.join(F.broadcast(sample), key).select(  # at most ``bound`` rows
-        F.col(key).alias("key"), F.col(label).alias("label"), *[c.alias(n) for n, c in asked.items()]
-    ).limit(4 * bound).toPandas().sort_values(["key", "label"])
+    # one row per id, however often it is repeated: at most ``bound`` rows
+    joined = counts.join(F.broadcast(sample), key).groupBy(key).agg(
+        F.min(label).alias("label"), F.min(F.struct(*[c.alias(n) for n, c in asked.items()])).alias("least"))
+    rows = joined.select(F.col(key).alias("key"), "label", "least.*").toPandas().sort_values("key")
     values = {n: rows[n].to_numpy(float, na_value=np.nan) for n in asked}
     return learn(values, rows["label"].to_numpy() == 0, np.arange(len(rows)), **options)
 
