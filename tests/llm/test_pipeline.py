@@ -66,5 +66,20 @@ def test_odd_documents_and_empty_table(spark, sf_small):
     drop_staged(spark)
 
 
+def test_other_columns_keep_values_and_types(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    own = {"kept": "doc_id % 2 = 0", "removed": "doc_id + 1", "a.b": "source", "language": "lang", "c1": "n_chars", "__toxicity": "doc_id"}
+    wide = docs.selectExpr("*", *[f"{e} AS `{n}`" for n, e in own.items()])
+    for name, step in cp.STAGES[:-1]:
+        kept = step(spark, wide, sf_small)
+        assert [(f.name, f.dataType) for f in kept.schema] == [(f.name, f.dataType) for f in wide.schema], name
+        rows = kept.collect()
+        assert rows and {r.doc_id for r in rows} == {r.doc_id for r in step(spark, docs, sf_small).collect()}
+        for r in rows:
+            assert (r["kept"], r["removed"], r["a.b"], r["language"], r["__toxicity"]) == (
+                r.doc_id % 2 == 0, r.doc_id + 1, r.source, r.lang, r.doc_id), name
+    drop_staged(spark)
+
+
 def test_names_and_order():
     assert [n for n, _ in cp.STAGES] == ["language", "toxicity", "ngram_join", "suffix_dedup", "packing"]
