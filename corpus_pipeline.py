@@ -7,10 +7,12 @@
    bytes of a character that was cut through go with it, and ``n_chars`` is counted anew.
 5. packing: the ids of all documents in windows.
 
-Documents without an id belong to no group and stay. All stages but the last return the columns
-that they get.
+Documents without an id belong to no group and stay; so do all rows of an id that stays, which do not
+cut each other. All stages but the last return the columns that they get, under whatever names: a
+stage sees columns that it does not use by their places.
 """
 
+import functools
 from collections.abc import Iterator
 
 import public_tokenizers
@@ -23,22 +25,41 @@ from zonalis.llm.common import table
 from zonalis.session import stage
 
 
+#: Columns that stages use by name.
+USED = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def on_places(step):
+    """The step with other columns named by their places, so that no name clashes with its own."""
+
+    @functools.wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [n if n in USED else f"extra_{i}" for i, n in enumerate(docs.columns)]
+        return step(spark, docs.toDF(*names), sf_dir).select(*names).toDF(*docs.columns)
+
+    return run
+
+
+@on_places
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.keep_known(docs, declaration="lang", host="source")
 
 
+@on_places
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.score(docs, model, out="__toxicity")
     return scored.where(~toxicity.toxic("__toxicity")).select(*docs.columns)
 
 
+@on_places
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     groups = ngram_join.ngram_components(docs)
     gone = groups.where("component_id != doc_id").select("doc_id").distinct()
     return docs.join(stage(gone, "near-duplicates").hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
+@on_places
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     @F.arrow_udf("string")
     def characters(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
