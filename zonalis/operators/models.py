@@ -1,5 +1,7 @@
 """Regressors and classifiers on engineered panels, as ``pyspark.ml`` pipelines."""
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -281,6 +283,103 @@ def sequence_vectors(panel: DataFrame) -> DataFrame:
     ).filter(F.col("role").isNotNull())
 
 
+@dataclass(frozen=True)
+class SequenceModel:
+    """One linear form per forecast step over entries of the flattened window, and a shift by zone."""
+
+    entries: list[int]
+    weights: list[list[float]]
+    intercepts: list[float]
+    zones: dict[str, list[float]]
+
+
+def _zone_encoder(train: DataFrame) -> PipelineModel:
+    index = StringIndexer(inputCol="zone", outputCol="zone_index", stringOrderType="alphabetAsc", handleInvalid="keep")
+    slots = OneHotEncoder(inputCol="zone_index", outputCol="zone_vector", dropLast=False)
+    both = VectorAssembler(inputCols=["window", "zone_vector"], outputCol="features")
+    return Pipeline(stages=[index, slots, both]).fit(train)
+
+
+def fit_sequences(panel: DataFrame, alpha: float = 1.0, entries: list[int] | None = None, zones: bool = True) -> SequenceModel:
+    """Ridge per step on the scaled windows of the training rows, pooled over zones.
+
+    ``entries`` are the places in the flattened window (rows, oldest first, by covariates) that are
+    inputs, by default all. With ``zones`` each zone is an input too; the model then holds their names.
+    """
+    size = fixed.HISTORY_ROWS * len(fixed.SEQUENCE_COVARIATES)
+    entries = list(range(size)) if entries is None else list(entries)
+    rows = sequence_vectors(panel).filter("role = 'train'")
+    picked = array_to_vector(F.array(*[F.col("flat")[i] for i in entries]))
+    targets = [F.col("target")[k].alias(f"t{k + 1}") for k in range(fixed.FORECAST_STEPS)]
+    table = stage(rows.select("zone", *targets, picked.alias("window")), "windows")
+    names = []
+    if zones:
+        encoder = _zone_encoder(table)
+        names, table = encoder.stages[0].labels, encoder.transform(table)
+    column, table = ("features", table.select("features", *[f"t{k + 1}" for k in range(fixed.FORECAST_STEPS)])) if zones else ("window", table)
+    fits = [ridge(table, alpha, label=f"t{k + 1}", features=column).fit(table) for k in range(fixed.FORECAST_STEPS)]
+    weights = [[float(w) for w in f.coefficients] for f in fits]
+    shifts = {name: [w[len(entries) + i] for w in weights] for i, name in enumerate(names)}
+    return SequenceModel(entries, [w[: len(entries)] for w in weights], [float(f.intercept) for f in fits], shifts)
+
+
+def _steps(model: SequenceModel, flat: Column, shift: Column) -> list[Column]:
+    """The scaled levels of the next steps from a flattened window."""
+    picked = F.array(*[flat[i] for i in model.entries]) if len(model.entries) < fixed.HISTORY_ROWS * len(fixed.SEQUENCE_COVARIATES) else flat
+    found = []
+    for k, (weights, intercept) in enumerate(zip(model.weights, model.intercepts, strict=True)):
+        products = F.zip_with(picked, F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w)
+        found.append(F.lit(intercept) + shift[k] + F.aggregate(products, F.lit(0.0), lambda a, x: a + x))
+    return found
+
+
+def _shifted(df: DataFrame, model: SequenceModel) -> DataFrame:
+    """``shift`` by zone; zones that the model does not know have none."""
+    none = F.array_repeat(F.lit(0.0), fixed.FORECAST_STEPS)
+    if not model.zones:
+        return df.withColumn("shift", none)
+    shifts = df.sparkSession.createDataFrame(list(model.zones.items()), "zone string, shift array<double>")  # as large as the model
+    return df.join(shifts, "zone", "left").withColumn("shift", F.coalesce("shift", none))
+
+
+def sequence_backtest(model: SequenceModel, panel: DataFrame, step: int = 1) -> DataFrame:
+    """Actual and predicted level of one step for every test window."""
+    rows = _shifted(sequence_vectors(panel).filter("role = 'test'"), model)
+    back = lambda c: c * (F.col(f"{LEVEL}_max") - F.col(f"{LEVEL}_min")) + F.col(f"{LEVEL}_min")
+    made = _steps(model, F.col("flat"), F.col("shift"))[step - 1]
+    return rows.select("zone", "date", back(F.col("target")[step - 1]).alias("y"), back(made).alias("p"))
+
+
+def sequence_recursion(model: SequenceModel, panel: DataFrame, months: int = fixed.FUTURE_MONTHS) -> DataFrame:
+    """Levels after the last row of each zone from the model's own predictions.
+
+    Each round predicts all steps from the window, then the window moves on by them: a predicted row has
+    the covariates of the row before it. Zones with less than a window of rows have no forecast.
+    """
+    columns, length = fixed.SEQUENCE_COVARIATES, fixed.HISTORY_ROWS
+    scaled = minmax(panel, columns).select(
+        "zone", "date", f"{LEVEL}_min", f"{LEVEL}_max", F.array(*[F.col(f"{c}_scaled") for c in columns]).alias("entry"))
+    newest = F.row_number().over(Window.partitionBy("zone").orderBy(F.desc("date")))
+    recent = scaled.withColumn("back", newest).filter(F.col("back") <= length)
+    last = recent.groupBy("zone").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("date", "entry"))), lambda r: r["entry"]).alias("window"),
+        F.max("date").alias("last_date"), F.first(f"{LEVEL}_min").alias("low"), F.first(f"{LEVEL}_max").alias("high"))
+    last = _shifted(last.filter(F.size("window") == length), model)
+    start = F.struct(F.col("window").alias("window"), F.array().cast("array<double>").alias("out"))
+
+    def advance(acc, _):
+        levels = F.array(*_steps(model, F.flatten(acc["window"]), F.col("shift")))
+        held = F.slice(F.element_at(acc["window"], -1), 2, len(columns) - 1)
+        grown = F.concat(acc["window"], F.transform(levels, lambda y: F.concat(F.array(y), held)))
+        return F.struct(F.slice(grown, fixed.FORECAST_STEPS + 1, length).alias("window"), F.concat(acc["out"], levels).alias("out"))
+
+    rounds = -(-months // fixed.FORECAST_STEPS)
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, advance, lambda acc: F.slice(acc["out"], 1, months))
+    made = last.select("zone", "last_date", "low", "high", F.posexplode(path).alias("pos", "scaled"))
+    return made.select("zone", (F.col("pos") + 1).alias("step"), F.add_months("last_date", F.col("pos") + 1).alias("date"),
+                       (F.col("scaled") * (F.col("high") - F.col("low")) + F.col("low")).alias("predicted_gw"))
+
+
 def direct_multistep(panel: DataFrame, alpha: float = 1.0) -> DataFrame:
     """One pooled ridge per forecast step; actual and predicted levels of the test rows."""
     rows = sequence_vectors(panel)

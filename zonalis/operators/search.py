@@ -1,11 +1,15 @@
 """Randomised search over parameter grids with expanding or stratified folds."""
 
 import itertools
+import math
 import random
 from dataclasses import replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,6 +61,61 @@ def _search(tasks, fit_one, parallel: int):
         return pool.map(fit_one, tasks)
 
 
+def ridge_search(
+    train: DataFrame, alphas: list[float] = fixed.RIDGE_ALPHAS, folds: int = 5, label: str = "y", features: str = "features"
+) -> DataFrame:
+    """RMSE of every penalty on every expanding-window fold, from one pass over the rows.
+
+    Tasks add the outer products of (1, features, label) by block of dates; a fold's training rows
+    are the blocks before it, so their sums give its weights, and the sums of its own block the
+    squared error. What reaches the driver is a matrix per block. Rows with a null label or vector
+    are left out.
+    """
+    rows = train.filter(F.col(label).isNotNull() & F.col(features).isNotNull())
+    some = with_date_ranks(train)
+    size = F.greatest(F.floor(F.col("n_dates") / (folds + 1)), F.lit(1))
+    first = F.col("n_dates") - folds * size
+    block = F.when(F.col("date_rank") < first, 0).otherwise(F.floor((F.col("date_rank") - first) / size) + 1)
+    known = some.join(rows.select("date").distinct(), "date").select("date", block.cast("int").alias("block")).distinct()
+    table = rows.join(known, "date").select("block", F.col(label).cast("double").alias("y"), vector_to_array(features).alias("x"))
+
+    def products(batches):
+        sums = {}
+        for batch in batches:
+            width = len(batch.column("x")[0]) if len(batch) else 0
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), width)
+            wide = np.column_stack([np.ones(len(batch)), x, batch.column("y").to_numpy()])
+            blocks = batch.column("block").to_numpy()
+            for b in np.unique(blocks):
+                part = wide[blocks == b]
+                sums[b] = sums.get(b, 0.0) + part.T @ part
+        for b, total in sums.items():
+            flat = total.ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), b, np.int32)), pa.array(np.arange(len(flat))), pa.array(flat)],
+                                             ["block", "cell", "value"])
+
+    parts = table.mapInArrow(products, "block int, cell bigint, value double")
+    found = parts.groupBy("block", "cell").agg(F.sum("value").alias("value")).orderBy("block", "cell").toArrow()
+    blocks, values = found.column("block").to_numpy(), found.column("value").to_numpy()
+    size = math.isqrt(len(values) // max(1, len(np.unique(blocks))))
+    grams = {int(b): values[blocks == b].reshape(size, size) for b in np.unique(blocks)}
+    scores = []
+    for fold in range(1, folds + 1):
+        seen = [g for b, g in grams.items() if b < fold]
+        if seen and fold in grams:
+            scores += [(float(a), fold, ridge_error(sum(seen), grams[fold], a)) for a in alphas]
+    return train.sparkSession.createDataFrame(scores, "alpha double, fold int, rmse double")
+
+
+def ridge_error(known: np.ndarray, held: np.ndarray, alpha: float) -> float:
+    """RMSE on the rows of one sum of products of the ridge fit on the rows of another."""
+    n, mean = known[0, 0], known[0, 1:] / known[0, 0]
+    centred = known[1:, 1:] - n * np.outer(mean, mean)
+    weights = np.linalg.solve(centred[:-1, :-1] + alpha * np.eye(len(mean) - 1), centred[:-1, -1])
+    form = np.concatenate([[mean[-1] - weights @ mean[:-1]], weights, [-1.0]])
+    return float(np.sqrt(max(form @ held @ form, 0.0) / held[0, 0]))
+
+
 def search_regressor(
     name: str,
     train: DataFrame,
@@ -66,6 +125,10 @@ def search_regressor(
     parallel: int = 4,
 ) -> list[dict]:
     """Mean RMSE over expanding-window folds for each drawn setting."""
+    if name == "Ridge_Regression":
+        settings = draw(grid or REGRESSORS[name], draws)
+        found = {(r["alpha"], r["fold"]): r["rmse"] for r in ridge_search(train, [s["alpha"] for s in settings], folds).collect()}
+        return _summary(name, settings, [(i, f, found.get((s["alpha"], f))) for i, s in enumerate(settings) for f in range(1, folds + 1)])
     # one copy of the rows with their date rank; a fold is a rank filter on it
     ranked = with_date_ranks(train).persist()
     some = ranked.first()

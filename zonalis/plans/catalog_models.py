@@ -112,6 +112,14 @@ def random_search(spark, sf_dir):
     return shown(search.as_rows(spark, scores), 6, "score")
 
 
+def ridge_search(spark, sf_dir):
+    """Errors of every penalty on five expanding folds over all customer months, from one pass."""
+    columns = ["rainfall_mm", "temperature_c"]
+    rows = customer_panel(spark, sf_dir).select("date", F.col("groundwater_level").alias("y"), *columns)
+    table = stage(VectorAssembler(inputCols=columns, outputCol="features").transform(rows).select("date", "y", "features"))
+    return shown(search.ridge_search(table), 5, "rmse")
+
+
 def top_features(spark, sf_dir):
     _, train, test = _tables(spark, sf_dir)
     rows = explain.top_features(train, models.forest_regressor(**FOREST).fit(train))
@@ -375,6 +383,29 @@ def direct_multistep(spark, sf_dir):
     return _metrics(scored.withColumn("model", F.concat(F.lit("step "), "step")))
 
 
+def sequence_zone_metrics(spark, sf_dir):
+    """Errors of the first step by zone, of a forecaster over whole windows and zones."""
+    panel = stage(zone_panel(spark, sf_dir), "panel")
+    scored = models.sequence_backtest(models.fit_sequences(panel), panel)
+    return _metrics(scored.withColumn("model", F.col("zone")))
+
+
+def sequence_future(spark, sf_dir):
+    panel = stage(zone_panel(spark, sf_dir), "panel")
+    return shown(models.sequence_recursion(models.fit_sequences(panel), panel), 6, "predicted_gw")
+
+
+#: The oldest and the newest level of a window.
+ENDS = [0, (fixed.HISTORY_ROWS - 1) * len(fixed.SEQUENCE_COVARIATES)]
+
+
+def sequence_recursion(spark, sf_dir):
+    """Forecasts that feed on themselves, of a pooled forecaster over the two ends of the window."""
+    panel = stage(zone_panel(spark, sf_dir), "panel")
+    model = models.fit_sequences(panel, entries=ENDS, zones=False)
+    return shown(models.sequence_recursion(model, panel, 24), 5, "predicted_gw")
+
+
 def regression_job(spark, sf_dir):
     table = _tables(spark, sf_dir)
     board = jobs.train_regressors(table, jobs.QUICK, fresh_path(spark, "models"))
@@ -405,6 +436,7 @@ QUERIES = {
         rf_cls_eval,
         gbt_cls_eval,
         random_search,
+        ridge_search,
         top_features,
         perm_importance,
         tree_contributions,
@@ -435,6 +467,9 @@ QUERIES = {
         arima_future,
         forecast_files,
         direct_multistep,
+        sequence_zone_metrics,
+        sequence_future,
+        sequence_recursion,
         regression_job,
         classification_job,
         run_all,
@@ -463,6 +498,45 @@ ORACLE = {
             unnest([0, 1, 2, 3]) AS j, unnest([month(date)::double, year(date)::double, is_coastal::double,
             soil_permeability]) AS v FROM customers), mean GROUP BY 1, 2, 3)""",
     ),
+    "sequence_recursion": over_panel(
+        f"""SELECT zone, step, cast(last_date + to_months(cast(step AS integer)) AS date) AS date,
+          {r('x * (hi - lo) + lo', 5)} AS predicted_gw
+        FROM (SELECT zone, last_date, lo, hi, unnest(out) AS x, unnest(range(1, 25)) AS step FROM path WHERE i = 8)""",
+        "bounds AS (SELECT zone, min(groundwater_level) AS lo, max(groundwater_level) AS hi, max(date) AS last_date FROM panel GROUP BY zone)",
+        f"""scaled AS (SELECT zone, date, lo, hi, last_date, (groundwater_level - lo) / (hi - lo) AS x,
+          row_number() OVER {W} AS i, count(*) OVER (PARTITION BY zone) AS n FROM panel JOIN bounds USING (zone))""",
+        f"""windows AS (SELECT zone, i, n, lag(x, 11) OVER {W} AS a, x AS b, lead(x, 1) OVER {W} AS t1, lead(x, 2) OVER {W} AS t2,
+          lead(x, 3) OVER {W} AS t3 FROM scaled)""",
+        """pooled AS (SELECT k, avg(a) AS ma, avg(b) AS mb, avg(t) AS mt, var_pop(a) * count(*) + 1 AS saa,
+          var_pop(b) * count(*) + 1 AS sbb, covar_pop(a, b) * count(*) AS sab, covar_pop(a, t) * count(*) AS sat,
+          covar_pop(b, t) * count(*) AS sbt
+          FROM (SELECT a, b, unnest([1, 2, 3]) AS k, unnest([t1, t2, t3]) AS t FROM windows
+            WHERE i >= 12 AND i + 3 <= floor(n * 0.8e0)) GROUP BY k)""",
+        """form AS (SELECT max(wa) FILTER (k = 1) AS a1, max(wb) FILTER (k = 1) AS b1, max(c) FILTER (k = 1) AS c1,
+          max(wa) FILTER (k = 2) AS a2, max(wb) FILTER (k = 2) AS b2, max(c) FILTER (k = 2) AS c2,
+          max(wa) FILTER (k = 3) AS a3, max(wb) FILTER (k = 3) AS b3, max(c) FILTER (k = 3) AS c3
+          FROM (SELECT *, mt - wa * ma - wb * mb AS c FROM (SELECT *, (sbb * sat - sab * sbt) / (saa * sbb - sab * sab) AS wa,
+            (saa * sbt - sab * sat) / (saa * sbb - sab * sab) AS wb FROM pooled)))""",
+        """path AS (SELECT zone, last_date, lo, hi, 0 AS i, list(x ORDER BY i) AS w, []::DOUBLE[] AS out FROM scaled
+            WHERE i > n - 12 GROUP BY 1, 2, 3, 4
+          UNION ALL SELECT zone, last_date, lo, hi, i + 1, list_concat(w[4:], y), list_concat(out, y)
+          FROM (SELECT path.*, [c1 + a1 * w[1] + b1 * w[12], c2 + a2 * w[1] + b2 * w[12], c3 + a3 * w[1] + b3 * w[12]] AS y
+            FROM path, form WHERE i < 8))""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+    "ridge_search": over_customers(
+        f"""SELECT alpha, fold, {r('sqrt(avg((y - my - w1 * (x1 - m1) - w2 * (x2 - m2)) ** 2))', 5)} AS rmse
+        FROM weights JOIN ranked ON rank >= first AND rank < first + size GROUP BY alpha, fold""",
+        """ranked AS (SELECT rainfall_mm AS x1, temperature_c AS x2, groundwater_level AS y,
+          dense_rank() OVER (ORDER BY date) - 1 AS rank FROM customers)""",
+        """folds AS (SELECT fold, n - (6 - fold) * (n // 6) AS first, n // 6 AS size
+          FROM (SELECT count(DISTINCT date) AS n FROM customers), (SELECT unnest([1, 2, 3, 4, 5]) AS fold))""",
+        """sums AS (SELECT fold, first, size, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my, var_pop(x1) * count(*) AS s11,
+          var_pop(x2) * count(*) AS s22, covar_pop(x1, x2) * count(*) AS s12, covar_pop(x1, y) * count(*) AS b1,
+          covar_pop(x2, y) * count(*) AS b2 FROM folds JOIN ranked ON rank < first GROUP BY 1, 2, 3)""",
+        """weights AS (SELECT *, ((s22 + alpha) * b1 - s12 * b2) / det AS w1, ((s11 + alpha) * b2 - s12 * b1) / det AS w2
+          FROM (SELECT *, (s11 + alpha) * (s22 + alpha) - s12 * s12 AS det
+            FROM sums, (SELECT unnest([0.1e0, 1e0, 10e0, 100e0]) AS alpha)))""",
+    ),
     "tree_contribution_facts": over_panel(
         """SELECT model, zone, date, 1 AS adds_up FROM kept, (SELECT max(date) - INTERVAL 3 YEAR AS edge FROM kept),
         (VALUES ('forest'), ('boosted')) AS m(model) WHERE date > edge""",

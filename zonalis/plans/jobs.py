@@ -158,6 +158,8 @@ def run_all(
     if "sequences" in steps:
         scored = models.direct_multistep(chosen).withColumn("model", F.concat(F.lit("step "), "step"))
         out.append(rows("sequences", evaluation.regression_metrics(scored), "model", ["RMSE", "MAE", "R2"]))
+        by_zone = models.sequence_backtest(models.fit_sequences(chosen), chosen).withColumn("model", F.col("zone"))
+        out.append(rows("sequence zones", evaluation.regression_metrics(by_zone), "model", ["RMSE", "MAE", "R2"]))
     if "arima" in steps:
         out.append(rows("arima", likelihood.backtest_metrics(chosen), "model", ["RMSE", "MAE", "R2"]))
     if "classifiers" in steps:
