@@ -86,6 +86,29 @@ def test_importances_name_a_level_lag(table):
     assert len(rows) == 20 and rows[0].importance >= rows[-1].importance >= 0
 
 
+def test_classification_job_leaves_counts_importances_and_explanations(spark, table):
+    effort = {"draws": 1, "folds": 2, "grids": {
+        "Logistic_Regression": {"C": [1.0]}, "RF_Classifier": {"numTrees": [5], "maxDepth": [4]},
+        "One_vs_Rest_Boosting": {"maxIter": [2], "maxDepth": [2]}}}
+    path = fresh_path(spark, "artefacts")
+    board = jobs.train_classifiers(table, effort, path)
+    assert board.select("model").distinct().count() == 3
+    tests = table[2].count()
+    for name in search.CLASSIFIERS:
+        cells = spark.read.parquet(f"{path}/CLS_{name}_confusion")
+        assert cells.count() == 9 and cells.agg(F.sum("n")).first()[0] == tests
+        parts = spark.read.parquet(f"{path}/CLS_{name}_explanation").collect()
+        assert 0 < len(parts) <= 20 and max(r.mean_abs for r in parts) > 0
+        assert all(np.isfinite(r.mean_abs) for r in parts)
+    top = spark.read.parquet(f"{path}/CLS_RF_Classifier_importances")
+    assert top.count() == 15 and top.agg(F.sum("importance")).first()[0] <= 1 + 1e-9
+    model = models.logit(table[1]).fit(table[1])
+    [first, *_] = explain.class_contributions(model, table[1], table[2], 2).collect()
+    slot = explain.feature_names(table[1]).index(first.feature)
+    x = [np.array([r.features.toArray()[slot] for r in t.select("features").collect()]) for t in table[1:]]
+    assert first.mean_abs == pytest.approx(np.abs(model.coefficientMatrix.toArray()[2, slot] * (x[1] - x[0].mean())).mean())
+
+
 def test_linear_contributions_by_hand(spark):
     train = spark.createDataFrame([(1.0, 0.0), (3.0, 0.0)], "a double, b double")
     test = spark.createDataFrame([(4.0, 1.0), (0.0, 1.0)], "a double, b double")

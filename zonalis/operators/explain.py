@@ -1,11 +1,13 @@
 """Feature importances and explanations."""
 
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonalis.functions import fixed
+from zonalis.operators import trees
 from zonalis.operators.models import probabilities, ridge
 
 
@@ -41,6 +43,25 @@ def linear_contributions(test: DataFrame, train: DataFrame, weights: dict[str, f
     ).limit(k)
 
 
+def class_contributions(model, train: DataFrame, test: DataFrame, outcome: int = 2, k: int = 20) -> DataFrame:
+    """The k features with the largest mean absolute contribution to one class on the test rows.
+
+    Trees: Shapley values of the class's probability or margin. A linear model: weight times the
+    distance from the training mean, in the class's margin.
+    """
+    names = feature_names(train)
+    if not isinstance(model, LogisticRegressionModel):
+        ensemble = trees.from_model(model, train.sparkSession)
+        return trees.mean_contributions(trees.explain(ensemble, test, outcome), names, k)
+    slots = lambda df: df.select(F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    weights = [(i, n, float(w)) for i, (n, w) in enumerate(zip(names, model.coefficientMatrix.toArray()[outcome], strict=True))]
+    forms = train.sparkSession.createDataFrame(weights, "slot int, feature string, weight double")  # a row per feature
+    means = slots(train).groupBy("slot").agg(F.avg("x").alias("mean"))
+    parts = slots(test).join(means, "slot").join(forms, "slot")
+    added = F.abs(F.col("weight") * (F.col("x") - F.col("mean")))
+    return parts.groupBy("feature").agg(F.avg(added).alias("mean_abs")).orderBy(F.desc("mean_abs"), "feature").limit(k)
+
+
 def permutation_importance(
     model, df: DataFrame, outcome: int = 2, k: int = 20, seed: int = fixed.SEED, buckets: int = 64
 ) -> DataFrame:

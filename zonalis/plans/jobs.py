@@ -9,6 +9,7 @@ from zonalis.functions import fixed
 from zonalis.operators import (
     anomaly,
     evaluation,
+    explain,
     likelihood,
     models,
     scenarios,
@@ -90,15 +91,25 @@ def train_regressors(table, effort=FULL, model_dir: str | None = None) -> DataFr
 
 
 def train_classifiers(table, effort=FULL, model_dir: str | None = None) -> DataFrame:
-    """Search by macro F1 on stratified folds, refit, report the held-out years by class."""
+    """Search by macro F1 on stratified folds, refit, report the held-out years by class.
+
+    With ``model_dir`` each model is saved with its confusion counts, its 15 largest importances where
+    it has any, and its 20 largest contributions to high risk.
+    """
     prep, train, test = table
-    fitted, reports = {}, []
+    fitted, reports, high = {}, [], fixed.RISK_LABELS.index("High")
     for name in search.CLASSIFIERS:
         tried = _search("classifier", name, train, effort, fixed.CLASSIFICATION_DRAWS)
         best = max(tried, key=lambda r: r["score"])
         fitted[name] = search.classifier(name, train, best["params"]).fit(train)
         scored = models.predict_class(fitted[name], test, name)
         reports.append(evaluation.classification_report(scored, by=("model",)))
+        if model_dir:
+            evaluation.confusion_counts(scored).write.parquet(f"{model_dir}/CLS_{name}_confusion")
+            if hasattr(fitted[name], "featureImportances"):
+                top = explain.top_features(train, fitted[name], 15)
+                top.write.parquet(f"{model_dir}/CLS_{name}_importances")
+            explain.class_contributions(fitted[name], train, test, high).write.parquet(f"{model_dir}/CLS_{name}_explanation")
     report = stage(reduce(DataFrame.unionByName, reports), "report")
     macro = report.filter("label = 'macro avg'")
     winner = macro.agg(F.max_by("model", F.struct("f1", "model"))).scalar()
