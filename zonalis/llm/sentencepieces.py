@@ -83,13 +83,17 @@ class Pieces:
 
     def merged(self, text: str) -> list[str]:
         """The merge result of a short text, by its definition."""
-        parts = list(text)
-        while True:
-            found = [(self.rank[a + b], i) for i, (a, b) in enumerate(pairwise(parts)) if a + b in self.rank]
-            if not found:
-                return parts
-            _, i = min(found)
+        rank, none, parts = self.rank, len(self.rank), list(text)
+        ranks = [rank.get(a + b, none) for a, b in pairwise(parts)]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)  # the leftmost
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank.get(parts[i] + parts[i + 1], none)
+            if i:
+                ranks[i - 1] = rank.get(parts[i - 1] + parts[i], none)
+        return parts
 
 
 class Encoder:
@@ -105,11 +109,18 @@ class Encoder:
                         for t in self.texts]
         self.automaton = ahocorasick.Automaton()
         for text, i in number.items():
-            self.automaton.add_word(text, i)
-        self.automaton.make_automaton()
+            if len(text) > 1:  # single characters are looked up
+                self.automaton.add_word(text, i)
+        self.matches = lambda text: ()
+        if len(self.automaton):
+            self.automaton.make_automaton()
+            self.matches = self.automaton.iter
         self.number = number
         self.room, self.pair_room = room, pair_room
-        self.fits: dict[int, bool] = {}
+        #: by left piece, what is known of its right neighbours; nothing is known of the start
+        self.fits: list[dict[int, bool]] = [{} for _ in self.texts]
+        self.always: dict[int, bool] = {}
+        self.pairs = 0
         self.spaced: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}
         joints = self.pieces.joints
@@ -120,13 +131,11 @@ class Encoder:
 
     def compatible(self, left: int, right: int) -> bool:
         """Whether merging the characters of two neighbouring pieces again gives the two."""
-        key = left << 32 | right
-        known = self.fits.get(key)
-        if known is None:
-            a, b = self.texts[left], self.texts[right]
-            known = a[-1] + b[0] not in self.pieces.joints or self.pieces.merged(a + b) == [a, b]
-            if len(self.fits) < self.pair_room:
-                self.fits[key] = known
+        a, b = self.texts[left], self.texts[right]
+        known = a[-1] + b[0] not in self.pieces.joints or self.pieces.merged(a + b) == [a, b]
+        if self.pairs < self.pair_room:
+            self.fits[left][right] = known
+            self.pairs += 1
         return known
 
     def without_piece(self, character: str) -> int:
@@ -135,44 +144,48 @@ class Encoder:
         self.packed.append(self.pieces.without_piece(character))
         self.length.append(1)
         self.shorter.append(-1)
+        self.fits.append({})
         self.number[character] = len(self.texts) - 1
         return len(self.texts) - 1
 
     def run(self, text: str) -> bytes:
         """Ids of a text without the rule of the prefix."""
-        whole = self.number.get(text)
+        number, length = self.number, self.length
+        whole = number.get(text)
         if whole is not None:
             return self.packed[whole]
-        longest, length = [-1] * len(text), self.length
-        for last, piece in self.automaton.iter(text):
-            longest[last - length[piece]] = piece  # one place early; ends ascend, so the longest comes last
-        longest.insert(0, longest.pop())
-        if -1 in longest:
+        longest = list(map(number.get, text))
+        if None in longest:
             for i, piece in enumerate(longest):
-                if piece < 0:
-                    known = self.number.get(text[i])
+                if piece is None:
+                    known = number.get(text[i])
                     longest[i] = self.without_piece(text[i]) if known is None else known
+        for last, piece in self.matches(text):
+            longest[last + 1 - length[piece]] = piece  # ends ascend, so the longest comes last
         longest.append(-1)
         failed = bytearray((len(text) >> 3) + 1)
         taken: list[int] = []
         fits, compatible, shorter, stop = self.fits, self.compatible, self.shorter, len(text)
         at, before, piece = 0, -1, longest[0]
+        row = self.always
         while at < stop:
             while piece >= 0:
                 after = at + length[piece]
                 if not failed[after >> 3] & 1 << (after & 7):
-                    fit = before < 0 or fits.get(before << 32 | piece)
+                    fit = row.get(piece)
                     if fit is None:
-                        fit = compatible(before, piece)
+                        fit = before < 0 or compatible(before, piece)
                     if fit:
                         taken.append(piece)
                         before, at, piece = piece, after, longest[after]
+                        row = fits[before]
                         break
                 piece = shorter[piece]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = taken.pop()
                 before = taken[-1] if taken else -1
+                row = fits[before] if taken else self.always
                 at -= length[piece]
                 piece = shorter[piece]
         return b"".join([self.packed[i] for i in taken])
