@@ -5,6 +5,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,50 +91,64 @@ def mean_path(n):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
+def padded_trees(table: pd.DataFrame) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Per tree its depth, each node's feature, cut and two children, and each leaf's whole path length.
+
+    A leaf is its own child, so that all rows take as many steps as the tree is deep.
+    """
+    out = []
+    for _, tree in table.sort_values(["tree", "node"]).groupby("tree"):
+        feature, left, right = (tree[c].to_numpy(dtype=np.intp) for c in ["feature", "left", "right"])
+        inner, own = feature >= 0, np.arange(len(tree))
+        children = np.stack([np.where(inner, left, own), np.where(inner, right, own)], axis=1).ravel()
+        depth = np.zeros(len(tree))
+        for node in np.flatnonzero(inner):  # parents come before their children
+            depth[children[2 * node : 2 * node + 2]] = depth[node] + 1
+        cut = np.where(inner, tree["cut"].to_numpy(), np.inf)
+        path = depth + mean_path(tree["size"].to_numpy())
+        out.append((int(depth.max()), np.where(inner, feature, 0), cut, children, path))
+    return out
+
+
+def path_lengths(columns: np.ndarray, trees: list[tuple]) -> np.ndarray:
+    """Summed path lengths over all trees of each row; ``columns`` has a row per feature."""
+    n = columns.shape[1]
+    flat, row, total = columns.ravel(), np.arange(n), np.zeros(n)
+    for depth, feature, cut, children, path in trees:
+        offset = feature * n
+        at = np.zeros(n, np.intp)
+        for _ in range(depth):
+            value = flat.take(offset.take(at) + row)
+            right = value > cut.take(at)
+            at <<= 1
+            at += right
+            at = children.take(at)
+        total += path.take(at)
+    return total
+
+
 def score_rows(df: DataFrame, nodes: DataFrame, features: list[str], sample_rows: int) -> DataFrame:
     """Adds ``iso_score`` = 2^(-mean depth / c).
 
     The node table has at most trees x (2 x sample - 1) rows (51,100 by default) whatever
     the data size; that bound is what makes it fit for a broadcast variable.
     """
-    table = nodes.toPandas().sort_values(["tree", "node"], ignore_index=True)
-    starts = np.flatnonzero(table["node"].to_numpy() == 0)
-    offset = np.repeat(starts, np.diff(np.append(starts, len(table))))
-    left = np.where(table["left"] >= 0, table["left"] + offset, -1)
-    right = np.where(table["right"] >= 0, table["right"] + offset, -1)
-    model = df.sparkSession.sparkContext.broadcast(
-        (
-            starts,
-            table["feature"].to_numpy(),
-            table["cut"].to_numpy(),
-            left,
-            right,
-            mean_path(table["size"].to_numpy()),
-        )
-    )
+    model = df.sparkSession.sparkContext.broadcast(padded_trees(nodes.toPandas()))
     norm = float(mean_path(sample_rows))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        roots, feature, cut, go_left, go_right, rest = model.value
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees = model.value
         for batch in batches:
-            data = batch[features].astype("float64").fillna(0.0).to_numpy()
-            depth = np.zeros(len(data))
-            for root in roots:
-                at = np.full(len(data), root)
-                inner = feature[at] >= 0
-                while inner.any():
-                    rows = np.flatnonzero(inner)
-                    here = at[rows]
-                    below = data[rows, feature[here]] <= cut[here]
-                    at[rows] = np.where(below, go_left[here], go_right[here])
-                    depth[rows] += 1
-                    inner[rows] = feature[at[rows]] >= 0
-                depth += rest[at]
-            batch["iso_score"] = 2.0 ** (-depth / len(roots) / norm) if norm > 0 else 0.5
-            yield batch
+            data = np.empty((len(features), len(batch)))
+            for i, name in enumerate(features):
+                data[i] = batch.column(name).cast(pa.float64(), safe=False).to_numpy(zero_copy_only=False)
+            data[np.isnan(data)] = 0.0  # nulls too
+            total = path_lengths(data, trees)
+            scores = 2.0 ** (-total / len(trees) / norm) if norm > 0 else np.full(len(batch), 0.5)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "iso_score"])
 
     schema = T.StructType([*df.schema.fields, T.StructField("iso_score", T.DoubleType())])
-    return df.mapInPandas(score, schema)
+    return df.mapInArrow(score, schema)
 
 
 def isolation_forest(
