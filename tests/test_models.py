@@ -1,3 +1,4 @@
+import re
 import time
 
 import numpy as np
@@ -230,6 +231,49 @@ def ar_series(phi, n, seed, zone, mean=0.0):
     return [(zone, month(t), float(w[t] + mean)) for t in range(n)]
 
 
+def test_order_fits_shuffle_rows_by_zone_only(spark):
+    rows = [row for z in "AB" for row in ar_series((0.6, 0.2), 60, ord(z), z)]
+    df = spark.createDataFrame(rows, "zone string, date date, groundwater_level double")
+    regular = forecasting.regular_series(df).withColumn("fit_rows", F.col("series_rows"))
+    fits = forecasting.candidate_fits(regular)
+    dealt = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", fits._jdf.queryExecution().executedPlan().toString())
+    assert dealt and all(re.fullmatch(r"zone#\d+", keys) for keys in dealt)
+    assert len(dealt) <= 2  # the rows, once for the long fits and once for the residuals
+    assert fits.count() == 2 * 17
+
+
+def test_series_without_long_lags_or_zone_walk(spark):
+    """Sums of a fit take only rows with all lags; short series and those without a zone have no fit."""
+    long = ar_series((0.5, 0.1), 40, 1, "long")
+    short = [("short", month(t), float(t * t)) for t in range(6)]
+    none = [(None, day, x) for _, day, x in ar_series((0.5, 0.1), 40, 2, "")]
+    regular = spark.createDataFrame(
+        [(z, day, x, i % 40 + 1, 40) for i, (z, day, x) in enumerate(long + none)]
+        + [(z, day, x, i + 1, 6) for i, (z, day, x) in enumerate(short)],
+        "zone string, date date, groundwater_level double, row_in_series int, fit_rows int",
+    )
+    best = {row.zone: row for row in forecasting.best_orders(forecasting.candidate_fits(regular)).collect()}
+    assert best["long"].aic is not None
+    for zone, last in (("short", 25.0), (None, none[-1][2])):
+        assert (best[zone].p, best[zone].d, best[zone].q, best[zone].aic) == (0, 1, 0, None)
+        assert best[zone].state.x == last
+    values = np.array([x for *_, x in long])
+    steps = {0: values, 1: np.diff(values)}
+    fits = {(row.p, row.d, row.q): row for row in forecasting.candidate_fits(regular).filter("zone = 'long'").collect()}
+    for d, w in steps.items():
+        lagged = np.array([w[i - 6 : i][::-1] for i in range(6, len(w))])
+        weights = np.linalg.lstsq(lagged, w[6:], rcond=None)[0]
+        e = w[6:] - lagged @ weights
+        state = fits[1, d, 1].state
+        assert (state.w1, state.w2) == pytest.approx((w[-1], w[-2]))
+        assert (state.e1, state.e2) == pytest.approx((e[-1], e[-2]), abs=1e-9)
+        at = np.arange(9, 40) - d  # rows 10 to 40 of the series
+        x = np.column_stack([w[at - 1], e[at - 7]])
+        want = np.linalg.lstsq(x, w[at], rcond=None)[0]
+        assert fits[1, d, 1].n == 31
+        assert [fits[1, d, 1].weights[1], fits[1, d, 1].weights[3]] == pytest.approx(want, abs=1e-8)
+
+
 def test_order_weights_recover_an_autoregression(spark):
     df = spark.createDataFrame(
         ar_series((0.6, 0.25), 1200, 1, "ar2"), "zone string, date date, groundwater_level double"

@@ -87,24 +87,17 @@ def regular_series(panel: DataFrame) -> DataFrame:
     return stage(number_in_series(fill_gaps(panel)).filter(F.col(LEVEL).isNotNull()), "series")
 
 
-def _differenced(regular: DataFrame) -> DataFrame:
-    """Both difference orders with their long lags, from one shuffle by zone."""
+def _lagged(regular: DataFrame) -> DataFrame:
+    """A row per month with the level in both difference orders and their long lags side by side.
+
+    What follows stays partitioned by zone, so this is the only shuffle of rows.
+    """
     zone = Window.partitionBy("zone").orderBy("date")
     step = F.col(LEVEL) - F.lag(LEVEL).over(zone)
-    both = regular.withColumns({"w0": F.col(LEVEL), "w1": step})
+    both = regular.select("zone", "date", "row_in_series", "fit_rows", LEVEL, step.alias("w1"))
+    both = both.withColumn("w0", F.col(LEVEL))
     lags = range(1, LONG_LAGS + 1)
-    lagged = both.select(
-        "*", *[F.lag(w, k).over(zone).alias(f"{w}_{k}") for w in ["w0", "w1"] for k in lags]
-    )
-    forms = [
-        F.struct(
-            F.lit(d).alias("d"), F.col(f"w{d}").alias("w"), *[F.col(f"w{d}_{k}").alias(f"l{k}") for k in lags]
-        )
-        for d in fixed.ARIMA_D
-    ]
-    return lagged.select(
-        "zone", "date", "row_in_series", "fit_rows", LEVEL, F.explode(F.array(*forms)).alias("form")
-    ).select("zone", "date", "row_in_series", "fit_rows", LEVEL, "form.*")
+    return both.select("*", *[F.lag(f"w{d}", k).over(zone).alias(f"w{d}_{k}") for d in fixed.ARIMA_D for k in lags])
 
 
 def candidate_fits(regular: DataFrame) -> DataFrame:
@@ -113,41 +106,52 @@ def candidate_fits(regular: DataFrame) -> DataFrame:
     ``regular`` carries ``fit_rows``, the number of leading rows to fit on. All orders are
     compared on the same rows, so their AICs are comparable across difference orders.
     """
-    rows = _differenced(regular).filter(F.col("row_in_series") <= F.col("fit_rows"))
-    past = [F.col(f"l{k}") for k in range(1, LONG_LAGS + 1)]
-    first = (
-        rows.filter(past[-1].isNotNull()).groupBy("zone", "d").agg(_products([F.col("w"), *past]).alias("gram"))
-    )
-    long_fit = first.select("zone", "d", long_weights("gram").alias("long"))
-    predicted = reduce(lambda a, b: a + b, [F.col("long")[k] * lag for k, lag in enumerate(past)])
+    rows = _lagged(regular).filter(F.col("row_in_series") <= F.col("fit_rows"))
+    past = {d: [F.col(f"w{d}_{k}") for k in range(1, LONG_LAGS + 1)] for d in fixed.ARIMA_D}
+    whole = lambda d: [F.when(past[d][-1].isNotNull(), c) for c in [F.col(f"w{d}"), *past[d]]]
+    first = rows.groupBy("zone").agg(*[_products(whole(d)).alias(f"gram{d}") for d in fixed.ARIMA_D])
+    long_fit = first.select("zone", *[long_weights(f"gram{d}").alias(f"long{d}") for d in fixed.ARIMA_D])
     # series without a full set of lags have no long fit and keep null residuals
-    residuals = rows.join(long_fit, ["zone", "d"], "left").withColumn("e", F.col("w") - predicted)
-    ordered = Window.partitionBy("zone", "d").orderBy("date")
-    lags = residuals.select(
-        "*",
-        *[F.lag("e", k).over(ordered).alias(f"e{k}") for k in range(1, MAX_Q + 1)],
-        F.lag("w", 1).over(ordered).alias("w_before"),
-    )
-    # the trim of the highest difference order, for both
-    usable = F.col(f"e{MAX_Q}").isNotNull() & (
-        F.col("row_in_series") > LONG_LAGS + MAX_Q + max(fixed.ARIMA_D)
-    )
-    names = ["w", *[f"l{k}" for k in range(1, MAX_P + 1)], *[f"e{k}" for k in range(1, MAX_Q + 1)]]
-    lags = lags.select("*", *[F.when(usable, F.col(c)).alias(f"fit_{c}") for c in names])
-    variables = [F.col(f"fit_{c}") for c in names]
-    state = F.struct(
-        F.col(LEVEL).alias("x"),
-        F.col("w").alias("w1"),
-        F.col("w_before").alias("w2"),
-        F.coalesce("e", F.lit(0.0)).alias("e1"),
-        F.coalesce("e1", F.lit(0.0)).alias("e2"),
-        F.col("date").alias("last_date"),
-    )
-    second = lags.groupBy("zone", "d").agg(
-        F.count("fit_w").alias("n"),
-        _products(variables).alias("gram"),
-        F.max_by(state, "date").alias("state"),
+    fitted = rows.join(long_fit, "zone", "left")
+    error = lambda d: F.col(f"w{d}") - reduce(
+        lambda a, b: a + b, [F.col(f"long{d}")[k] * lag for k, lag in enumerate(past[d])]
     )
+    residuals = fitted.select("zone", "date", "row_in_series", LEVEL, *[
+        F.col(c) for d in fixed.ARIMA_D for c in [f"w{d}", *[f"w{d}_{k}" for k in range(1, MAX_P + 1)]]
+    ], *[error(d).alias(f"e{d}") for d in fixed.ARIMA_D])
+    ordered = Window.partitionBy("zone").orderBy("date")
+    before = [F.lag(f"e{d}", k).over(ordered).alias(f"e{d}_{k}") for d in fixed.ARIMA_D for k in range(1, MAX_Q + 1)]
+    # the lags of the levels reach over the rows to fit on only
+    before += [F.lag(f"w{d}", 1).over(ordered).alias(f"before{d}") for d in fixed.ARIMA_D]
+    lags = residuals.select("*", *before)
+
+    def form(d):
+        """One difference order: the variables of its fit where all are usable, and its state."""
+        # the trim of the highest difference order, for both
+        usable = F.col(f"e{d}_{MAX_Q}").isNotNull() & (
+            F.col("row_in_series") > LONG_LAGS + MAX_Q + max(fixed.ARIMA_D)
+        )
+        names = [f"w{d}", *[f"w{d}_{k}" for k in range(1, MAX_P + 1)], *[f"e{d}_{k}" for k in range(1, MAX_Q + 1)]]
+        variables = [F.when(usable, F.col(c)) for c in names]
+        state = F.struct(
+            F.col(LEVEL).alias("x"),
+            F.col(f"w{d}").alias("w1"),
+            F.col(f"before{d}").alias("w2"),
+            F.coalesce(f"e{d}", F.lit(0.0)).alias("e1"),
+            F.coalesce(f"e{d}_1", F.lit(0.0)).alias("e2"),
+            F.col("date").alias("last_date"),
+        )
+        return [
+            F.count(variables[0]).alias(f"n{d}"),
+            _products(variables).alias(f"gram{d}"),
+            F.max_by(state, "date").alias(f"state{d}"),
+        ]
+
+    wide = lags.groupBy("zone").agg(*[c for d in fixed.ARIMA_D for c in form(d)])
+    forms = [
+        F.struct(F.lit(d).alias("d"), *[F.col(f"{c}{d}").alias(c) for c in ("n", "gram", "state")]) for d in fixed.ARIMA_D
+    ]
+    second = wide.select("zone", F.explode(F.array(*forms)).alias("form")).select("zone", "form.*")
     orders = [(p, q) for p in fixed.ARIMA_P for q in fixed.ARIMA_Q]
     grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in orders])
     fits = (
