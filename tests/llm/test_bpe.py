@@ -99,3 +99,22 @@ def test_other_definitions_have_no_rank_encoder(definition):
     with pytest.raises(ValueError):
         bpe.RankEncoder(definition)  # its pattern is a step of its own
     assert isinstance(bpe.quick_encoder(definition), bpe.Encoder)
+
+
+def test_a_worker_holds_one_encoder_and_short_batches(spark, tmp_path, definition):
+    """Encoders of earlier tasks and batches of 10,000 whole texts took more memory than an executor has."""
+    assert bpe.worker_encoder(definition) is bpe.worker_encoder(definition)
+    assert bpe.worker_decoder(definition) is bpe.worker_decoder(definition)
+    texts = list(enumerate([*(t for t in TEXTS if t), "a b", None, ""] * 3))
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "10000")
+        rows = {r.doc_id: r for r in bpe.op6_bpe(spark, str(tmp_path)).collect()}
+        assert int(spark.conf.get(key)) <= 2000
+    finally:
+        spark.conf.set(key, before)
+    for i, text in texts:
+        assert rows[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+        assert (rows[i].n_tokens == 0) == (not text)

@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from zonalis.llm.common import table
+from zonalis.llm.common import table, text_batches, worker_state
 
-#: Distinct chunks a worker keeps; beyond it chunks are encoded anew.
-CACHE_CHUNKS = 700_000
+#: Distinct chunks a worker keeps (some 150 bytes each); beyond it chunks are encoded anew.
+CACHE_CHUNKS = 300_000
 #: Letters below this code point are letters to every version of Unicode.
 LATIN_END = "\u0250"
 
@@ -225,6 +225,15 @@ class Decoder:
         return (number[starts], number[ends - 1] + 1) if len(ends) else (starts, ends)
 
 
+def worker_encoder(definition: str) -> Encoder:
+    """One encoder per worker process, so that its caches serve all its tasks and are held once."""
+    return worker_state(("byte-level encoder", definition), lambda: Encoder(definition))
+
+
+def worker_decoder(definition: str) -> Decoder:
+    return worker_state(("byte-level decoder", definition), lambda: Decoder(definition))
+
+
 def encode(
     df: DataFrame, definition: str, text: str = "text", out: str = "ids", spans: str | None = None
 ) -> DataFrame:
@@ -239,8 +248,8 @@ def encode(
 
     @F.arrow_udf(f"struct<{kind}>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(sent.value)
-        decoder = Decoder(sent.value) if spans else None
+        encoder = worker_encoder(sent.value)
+        decoder = worker_decoder(sent.value) if spans else None
         for batch in batches:
             ids = [encoder(t.as_py()) for t in batch]
             columns = {"ids": pa.array(ids, pa.binary())}
@@ -265,7 +274,7 @@ def decode(df: DataFrame, definition: str, ids: str = "ids", out: str = "decoded
 
     @F.arrow_udf("binary")
     def plain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        decoder = Decoder(sent.value)
+        decoder = worker_decoder(sent.value)
         for batch in batches:
             yield pa.array([decoder(x.as_py() or b"") for x in batch], pa.binary())
 
@@ -274,6 +283,7 @@ def decode(df: DataFrame, definition: str, ids: str = "ids", out: str = "decoded
 
 def op6_bpe(spark, sf_dir):
     """Ids of every document and their way back, as digests."""
+    text_batches(spark)
     definition = from_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = encode(docs, definition).select("doc_id", "ids")
