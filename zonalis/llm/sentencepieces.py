@@ -254,6 +254,16 @@ def id_lists(packed: list[bytes]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), ID)))
 
 
+def number_lists(column: pa.ListArray) -> Iterator[list[list[int]]]:
+    """The lists of a column as Python numbers, ``DECODED_AT_ONCE`` rows at once; a null is an empty list."""
+    ends, known = column.offsets.to_numpy().tolist(), column.is_valid().to_numpy(zero_copy_only=False).tolist()
+    for start in range(0, len(column), DECODED_AT_ONCE):
+        stop = min(start + DECODED_AT_ONCE, len(column))
+        # by way of numpy, which makes them many times faster than Arrow
+        numbers, first = column.values[ends[start] : ends[stop]].to_numpy(zero_copy_only=False).tolist(), ends[start]
+        yield [numbers[ends[i] - first : ends[i + 1] - first] if known[i] else [] for i in range(start, stop)]
+
+
 def encode(df: DataFrame, model: bytes, text: str = "text", out: str = "ids") -> DataFrame:
     """All columns plus ``out``, the ids as an array of integers; a column of that name is replaced."""
     sent = df.sparkSession.sparkContext.broadcast(model)  # as large as the model file
@@ -277,8 +287,7 @@ def decode(df: DataFrame, model: bytes, ids: str = "ids", out: str = "decoded")
         processor = worker_processor(sent.value)
         for batch in batches:
             texts: list[str] = []
-            for start in range(0, len(batch), DECODED_AT_ONCE):
-                lists = [ids or [] for ids in batch[start : start + DECODED_AT_ONCE].to_pylist()]
+            for lists in number_lists(batch):
                 texts.extend(processor.decode(lists, num_threads=1))
             yield pa.array(texts, pa.string())
 
