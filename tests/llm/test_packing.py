@@ -116,3 +116,72 @@ def test_light_terms_of_a_seed_count():
     assert shard.neighbours(0, unused).tolist() == [1]
     shard.forget(np.array([True, False, True]))
     assert shard.neighbours(0, np.array([False, False, True])).tolist() == []
+
+
+def test_scores_of_frequent_and_rare_terms_are_those_of_the_formula():
+    """Frequent terms stand in rows of their own; forgotten pieces leave both."""
+    draw = np.random.default_rng(2)
+    ids = [np.concatenate([draw.integers(0, 5, 20), draw.integers(5, 200, 10)]) for _ in range(50)]
+    idf = draw.random(200) + 0.1
+    shard = packing.Shard(ids, idf)
+    assert 0 < len(shard.rows) < 200
+    norm = packing.K1  # all pieces are equally long
+
+    def score(seed, doc):
+        found = [(ids[doc] == t).sum() for t in np.unique(ids[seed])]
+        return sum(idf[t] * c * (packing.K1 + 1) / (c + norm) for t, c in zip(np.unique(ids[seed]), found, strict=True))
+
+    unused = np.ones(50, bool)
+    for gone in ([], [3, 4], [10, 49]):
+        unused[gone] = False
+        shard.forget(unused)
+        want = [score(7, doc) * unused[doc] for doc in range(50)]
+        assert np.allclose(shard.scores(7), want)
+        assert shard.neighbours(7, unused).tolist() == sorted(np.flatnonzero(unused), key=lambda d: -want[d])
+
+
+def test_windows_take_the_best_that_fits_then_cut_the_best():
+    """What sorting all neighbours gave."""
+    draw = np.random.default_rng(3)
+    ids = [draw.integers(0, 300, n) for n in draw.integers(5, 120, 200)]
+    packer = packing.Packer(draw.random(300) + 0.1, 256)
+    packer.fill([(i, 0, len(x), x) for i, x in enumerate(ids)])
+    first = [d for d in packer.done if d[4] == 0]
+    seed = first[0][0]
+    assert len(ids[seed]) == max(map(len, ids))
+    unused = np.ones(200, bool)
+    unused[seed] = False
+    ranked = packing.Shard(ids, packer.idf).neighbours(seed, unused).tolist()
+    want, room = [], 256 - len(ids[seed])
+    for i in ranked:
+        if len(ids[i]) <= room:
+            want.append((i, len(ids[i])))
+            room -= len(ids[i])
+    if room:
+        want.append((next(i for i in ranked if i not in dict(want)), room))
+    assert [(d[0], len(d[3])) for d in first[1:]] == want
+
+
+def test_terms_of_routes_are_those_of_each_document():
+    draw = np.random.default_rng(4)
+    ids = [draw.integers(0, 60, n).astype("<u2") for n in (0, 1, 5, 40, 40, 0, 300)]
+    weights, known = np.round(draw.random(60), 1), draw.integers(0, 9, 60)
+    found = packing.heaviest(ids, weights, known, 5.0)
+    for least, terms in zip((5.0, 2), found, strict=True):
+        for x, term in zip(ids, terms.tolist(), strict=True):
+            own, count = np.unique(x, return_counts=True)
+            weight = weights[own] * count * (packing.K1 + 1) / (count + packing.K1)
+            some = [(-w, t) for w, t in zip(weight.tolist(), own.tolist(), strict=True) if known[t] >= least]
+            assert term == (min(some)[1] if some else -1)
+    assert [len(x) for x in packing.heaviest([], weights, known, 5.0)] == [0, 0]
+
+
+def test_document_frequencies_count_a_document_once(spark, tokenizer):
+    texts = ["red red red", "red blue", "", None, 'a " b "']  # the quotation mark is the closing id, too
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(2)
+    rows = packing.encode_documents(df, bpe.from_json(PATH), "doc_id", "text", 1).collect()
+    got = sum(np.frombuffer(r.frequencies, "<u8") for r in rows if r.frequencies is not None)
+    want = np.zeros(len(got), int)
+    for t in texts:
+        want[list({*tokenizer.encode(t or "", add_special_tokens=False).ids, 1})] += 1
+    assert (got == want).all()

@@ -8,6 +8,10 @@ A single space or newline between two non-space characters always starts a match
 pattern, so what stands between such places is encoded apart and each distinct chunk once per
 worker while its cache has room. Texts with other white space are encoded whole. Both ways
 give the same ids.
+
+The ranks of a definition allow more: whole columns are cut at all places that start a match whatever
+stands around them, and each distinct chunk of some megabytes is encoded once, or once per worker while
+there is room.
 """
 
 import base64
@@ -22,12 +26,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from zonalis.llm.common import table, text_batches, worker_state
+from zonalis.llm.common import flat, pieces, ranges, table, text_batches, worker_state
 
 #: Distinct chunks a worker keeps (some 150 bytes each); beyond it chunks are encoded anew.
 CACHE_CHUNKS = 300_000
 #: Letters below this code point are letters to every version of Unicode.
 LATIN_END = "\u0250"
+#: Bytes of text whose distinct chunks are encoded together, which bounds the memory of array work.
+CHUNK_BYTES = 1 << 22
+#: Distinct chunks from which on a worker keeps no more; larger tables take longer to look up than to encode anew.
+KNOWN_CHUNKS = 50_000
+#: White space beyond ASCII in any version of Unicode, its UTF-8 bytes read as a number.
+WIDE_SPACE = [int.from_bytes(chr(c).encode(), "big")
+              for c in (0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 def byte_characters() -> list[str]:
@@ -87,6 +98,32 @@ def _regular(chunk: str) -> bool:
     return bool(chunk) and not chunk[0].isspace() and not chunk[-1].isspace()
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    return (data == 32) | (data - np.uint8(9) < 5)
+
+
+def after_wide_space(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space beyond ASCII ends at each place; a character beyond ASCII must end there."""
+    two = data[at - 2].astype(np.int64) << 8 | data[at - 1]
+    three = data[at - 3].astype(np.int64) << 16 | two
+    return np.isin(two, WIDE_SPACE) | np.isin(three, WIDE_SPACE)
+
+
+def chunk_starts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The bounds of texts and of chunks in them.
+
+    A chunk starts with white space after another character, or with another ASCII character after an
+    ASCII letter. No match of the byte-level pattern spans such a place or depends on what is before it.
+    """
+    space, letter = is_space(data), (data | np.uint8(32)) - np.uint8(97) < 26
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = (space[1:] & ~space[:-1]) | (letter[:-1] & ~letter[1:] & (data[1:] < 128))
+    high = np.flatnonzero(cut[1:-1] & (data[:-1] > 127)) + 1
+    cut[high[after_wide_space(data, high)]] = False
+    cut[bounds] = True
+    return np.flatnonzero(cut)
+
+
 class Encoder:
     """Texts to packed ids (little-endian, ``dtype``) for one worker."""
 
@@ -158,6 +195,11 @@ class Encoder:
                 parts[i] = found[chunks[i]]
         return b"".join(parts)
 
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the bounds of each text's; null has none."""
+        coded = [np.frombuffer(self(t.as_py()), self.dtype) for t in texts]
+        return np.concatenate([np.empty(0, self.dtype), *coded]), np.cumsum([0, *map(len, coded)])
+
 
 class RankEncoder:
     """The ids of ``Encoder`` by the tiktoken library, for tokenizers whose merges are their vocabulary.
@@ -166,7 +208,7 @@ class RankEncoder:
     byte-level one and nothing is normalized; other definitions are refused.
     """
 
-    def __init__(self, definition: str, dtype: str = "<u4"):
+    def __init__(self, definition: str, dtype: str = "<u4", room: int = KNOWN_CHUNKS):
         rules = json.loads(definition)
         vocab, merges, split = rules["model"]["vocab"], rules["model"]["merges"], rules["pre_tokenizer"] or {}
         back = {c: b for b, c in enumerate(byte_characters())}
@@ -180,6 +222,12 @@ class RankEncoder:
         self.coding = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.whole = Encoder(definition, dtype).whole
         self.dtype = dtype
+        self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.lengths[list(ranks.values())] = [len(t) for t in ranks]
+        self.room = room
+        none = np.empty(0, np.int64)
+        #: Chunks encoded before, and what ``distinct`` gave for them.
+        self.known = (pa.array([], pa.large_binary()), np.empty(0, dtype), none, none)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -189,6 +237,63 @@ class RankEncoder:
         except ValueError:  # white space of some hundred thousand characters is too long for its pattern
             return self.whole(text)
 
+    def distinct(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each chunk start and how many they are.
+
+        Chunks that end without white space are encoded in one call: those that start with it stand end to
+        end, the others follow a newline, which is a match of its own there.
+        """
+        data, bounds = flat(chunks)
+        size, head, last = np.diff(bounds), data[bounds[:-1]], data[bounds[1:] - 1]
+        spaced, joins = is_space(head), ~is_space(last) & (head < 128)
+        high = np.flatnonzero(last > 127)
+        joins[high] &= ~after_wide_space(data, bounds[1:][high])
+        close, lined, alone = (np.flatnonzero(x) for x in (joins & spaced, joins & ~spaced, ~joins))
+        text = b"\n".join([flat(chunks.take(pa.array(close)))[0].tobytes(), *chunks.take(pa.array(lined)).to_pylist()])
+        ids = np.frombuffer(self(text.decode()), self.dtype)
+
+        order = np.concatenate([close, lined])
+        newlines = np.maximum(np.arange(len(order)) - len(close) + 1, 0)
+        start = np.cumsum(size[order]) - size[order] + newlines
+        place = np.concatenate([[0], np.cumsum(self.lengths[ids])])
+        first, count = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        first[order] = np.searchsorted(place, start)
+        count[order] = np.searchsorted(place, start + size[order]) - first[order]
+
+        own = [np.frombuffer(self(c.decode()), self.dtype) for c in chunks.take(pa.array(alone)).to_pylist()]
+        count[alone] = [len(x) for x in own]
+        first[alone] = len(ids) + np.cumsum(count[alone]) - count[alone]
+        return np.concatenate([ids, *own]), first, count
+
+    def chunks(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of neighbouring chunks end to end, and how many each has."""
+        known, ids, first, count = self.known
+        given = pa.Array.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        found = pa.concat_arrays([known, given]).dictionary_encode()  # the known ones keep their places
+        more = self.distinct(found.dictionary[len(known) :])
+        first = np.concatenate([first, more[1] + len(ids)])
+        ids, count = np.concatenate([ids, more[0]]), np.concatenate([count, more[2]])
+        if len(known) < self.room and bounds[-1] - bounds[0] <= CHUNK_BYTES:
+            self.known = (found.dictionary, ids, first, count)
+        which = found.indices.to_numpy()[len(known) :]
+        return ids[ranges(first[which], count[which])], count[which]
+
+    def column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and the bounds of each text's; null has none."""
+        data, bounds = flat(texts)
+        coded, ends, total = [np.empty(0, self.dtype)], [np.zeros(1, np.int64)], 0
+        for a, b in pieces(bounds, CHUNK_BYTES):
+            part, within = data[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+            starts, counts = chunk_starts(part, within), [np.zeros(1, np.int64)]
+            for s, e in pieces(starts, CHUNK_BYTES):
+                ids, count = self.chunks(part, starts[s : e + 1])
+                coded.append(ids)
+                counts.append(count)
+            before = np.cumsum(np.concatenate(counts))
+            ends.append(total + before[np.searchsorted(starts, within[1:])])
+            total += int(before[-1])
+        return np.concatenate(coded), np.concatenate(ends)
+
 
 def quick_encoder(definition: str, dtype: str = "<u4", room: int = CACHE_CHUNKS) -> "RankEncoder | Encoder":
     """The faster of both that gives the definition's ids."""

@@ -17,6 +17,7 @@ packed like any others; extra columns are not read; an empty table gives no rows
 total, so pieces do not depend on where a task runs, and a lost executor's task gives the same pieces again.
 """
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from zonalis.llm import bpe
-from zonalis.llm.common import sum_vectors, table, text_batches, worker_state
+from zonalis.llm.common import pieces, sum_vectors, table, text_batches, worker_state
 from zonalis.session import fresh_path
 
 WINDOW = 2048
@@ -36,7 +37,11 @@ CLOSING = 1
 SHARD_TOKENS = 3_000_000
 #: Share of all documents that a term needs to be the first by which pieces are routed.
 BROAD = 1 / 256
+#: Ids whose terms are weighed together, which bounds the memory of array work.
+ROUTED_IDS = 1 << 20
 K1, B = 1.2, 0.75
+#: Terms that this share of a shard's pieces has get a row of all pieces' weights: 40 bytes a posting at most.
+DENSE = 0.2
 
 ENCODED = "key bigint, ids binary, frequencies binary"
 
@@ -49,14 +54,15 @@ def encode_documents(df: DataFrame, definition: str, key: str, text: str, closin
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = width(size)
         encoder = worker_state(("packing", kind, sent.value), lambda: bpe.quick_encoder(sent.value, kind))
-        end = np.array([closing], kind).tobytes()
+        end = np.array([closing], kind)
         seen = np.zeros(size, np.int64)
         for batch in batches:
             coded = []
-            for t in batch.column("text"):
-                packed = encoder(t.as_py()) + end
-                seen[np.unique(np.frombuffer(packed, kind))] += 1
-                coded.append(packed)
+            ids, bounds = encoder.column(batch.column("text"))
+            for start, stop in itertools.pairwise(bounds.tolist()):
+                own = np.concatenate([ids[start:stop], end])
+                seen[own] += 1  # by one, however often the document has the id
+                coded.append(own.tobytes())
             none = pa.array([None] * len(coded), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(coded, pa.binary()), none],
                                              ["key", "ids", "frequencies"])
@@ -87,16 +93,22 @@ ROUTED = "key bigint, ids binary, broad int, narrow int, digest bigint, place bi
 ROUTE = ["broad", "narrow", "digest", "place"]
 
 
-def heaviest(ids: np.ndarray, weights: np.ndarray, frequencies: np.ndarray, broad: float) -> tuple[int, int]:
-    """The heaviest terms that ``broad`` and that two documents have, or -1."""
-    terms, count = np.unique(ids, return_counts=True)
-    weight = weights[terms] * count * (K1 + 1) / (count + K1)
-    known = frequencies[terms]
+def heaviest(ids: list[np.ndarray], weights: np.ndarray, frequencies: np.ndarray, broad: float) -> list[np.ndarray]:
+    """The heaviest term of each piece that ``broad`` and the one that two documents have, or -1; ties by id."""
+    owner = np.repeat(np.arange(len(ids)) << 32, [len(x) for x in ids])
+    pair, count = np.unique(owner + np.concatenate([np.empty(0, np.int64), *ids]), return_counts=True)
+    piece, term = pair >> 32, pair & 0xFFFFFFFF
+    weight = weights[term] * count * (K1 + 1) / (count + K1)
     found = []
     for least in (broad, 2):
-        some = np.flatnonzero(known >= least)
-        found.append(int(terms[some[weight[some].argmax()]]) if len(some) else -1)
-    return found[0], found[1]
+        some = np.flatnonzero(frequencies[term] >= least)
+        heavy = np.full(len(ids), -np.inf)
+        np.maximum.at(heavy, piece[some], weight[some])
+        best = some[weight[some] == heavy[piece[some]]]
+        named, first = np.unique(piece[best], return_index=True)
+        found.append(np.full(len(ids), -1))
+        found[-1][named] = term[best[first]]
+    return found
 
 
 def by_content(rows: DataFrame, sent, kind: str, window: int) -> DataFrame:
@@ -107,13 +119,16 @@ def by_content(rows: DataFrame, sent, kind: str, window: int) -> DataFrame:
         broad = max(2.0, BROAD * documents)
         place = TaskContext.get().partitionId() << 32
         for batch in batches:
-            routes = []
+            rests = []
             for packed in batch.column("ids"):
                 ids = np.frombuffer(packed.as_py(), kind)
-                rest = ids[len(ids) // window * window :]
-                routes.append((*heaviest(rest, idf, frequencies, broad), zlib.crc32(rest.tobytes()), place))
-                place += 1
-            columns = list(zip(*routes, strict=True)) if routes else [()] * 4
+                rests.append(ids[len(ids) // window * window :])
+            digests = [zlib.crc32(x.tobytes()) for x in rests]
+            spans = pieces(np.cumsum([0, *map(len, rests)]), ROUTED_IDS)
+            terms = [heaviest(rests[a:b], idf, frequencies, broad) for a, b in spans]
+            both = [np.concatenate(x) for x in zip(*terms, strict=True)] if terms else [(), ()]
+            columns = [*both, digests, np.arange(place, place + len(rests))]
+            place += len(rests)
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64()]
             made = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), *made], ["key", "ids", *ROUTE])
@@ -136,21 +151,42 @@ class Shard:
         self.weight = idf[term] * count * (K1 + 1) / (count + norm[self.doc])
         self.of_doc = np.searchsorted(self.doc, np.arange(n + 1))
         self.term = term
-        order = np.argsort(term, kind="stable")
+        dense = np.flatnonzero(np.bincount(term, minlength=size) > DENSE * n)
+        self.row = np.full(size, -1)
+        self.row[dense] = np.arange(len(dense))
+        self.rows, self.live = np.zeros((len(dense), n)), np.arange(n)
+        row = self.row[term]
+        some, others = np.flatnonzero(row >= 0), np.flatnonzero(row < 0)
+        self.rows[row[some], self.doc[some]] = self.weight[some]
+        order = others[np.argsort(term[others], kind="stable")]
         self.posting_doc, self.posting_weight = self.doc[order], self.weight[order]
         self.from_term = np.searchsorted(term[order], np.arange(size + 1))
 
+    def scores(self, seed: int) -> np.ndarray:
+        """BM25 of all pieces that are not forgotten, for all terms of the seed."""
+        terms = self.term[self.of_doc[seed] : self.of_doc[seed + 1]]
+        row = self.row[terms]
+        others = terms[row < 0]
+        spans = [slice(0, 0), *map(slice, self.from_term[others].tolist(), self.from_term[others + 1].tolist())]
+        dense = np.zeros(len(self.live))
+        for k in row[row >= 0].tolist():
+            dense += self.rows[k]
+        score = np.zeros(len(self.length))
+        score[self.live] = dense
+        score += np.bincount(np.concatenate([self.posting_doc[x] for x in spans]),
+                             np.concatenate([self.posting_weight[x] for x in spans]), len(score))
+        return score
+
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused pieces with a term of the seed, best first; ties by position."""
-        terms = self.term[self.of_doc[seed] : self.of_doc[seed + 1]]
-        spans = [slice(a, b) for a, b in zip(self.from_term[terms].tolist(), self.from_term[terms + 1].tolist(), strict=True)]
-        score = np.bincount(np.concatenate([self.posting_doc[x] for x in spans]),
-                            np.concatenate([self.posting_weight[x] for x in spans]), len(unused))
+        score = self.scores(seed)
         found = np.flatnonzero(unused & (score > 0))
         return found[np.argsort(-score[found], kind="stable")]
 
     def forget(self, unused: np.ndarray) -> None:
-        """Take used pieces out of the postings."""
+        """Take used pieces out of the postings and rows."""
+        live = unused[self.live]
+        self.live, self.rows = self.live[live], np.compress(live, self.rows, axis=1)
         keep = unused[self.posting_doc]
         self.from_term = np.concatenate([[0], np.cumsum(keep)])[self.from_term]
         self.posting_doc, self.posting_weight = self.posting_doc[keep], self.posting_weight[keep]
@@ -210,22 +246,21 @@ class Packer:
             members = [take(seed, self.window)]
             room = self.window - len(members[0][3])
             if room:
-                ranked = index.neighbours(seed, unused)
-                size = left[ranked]
-                k = 0
-                while room and k < len(ranked):  # whole pieces that fit, best first
-                    fits = np.flatnonzero(size[k:] <= room)
-                    if not len(fits):
-                        break
-                    k += int(fits[0])
-                    members.append(take(int(ranked[k]), room))
+                score = index.scores(seed)
+                found = np.flatnonzero(unused & (score > 0))  # as ``neighbours``, without sorting what is not taken
+                fits = found[left[found] <= room]
+                while len(fits):  # whole pieces that fit, best first
+                    i = int(fits[score[fits].argmax()])
+                    members.append(take(i, room))
                     room -= len(members[-1][3])
-                    k += 1
-                for i in ranked[unused[ranked]][:1] if room else ():
-                    members.append(take(int(i), room))
+                    fits = fits[unused[fits] & (left[fits] <= room)]
+                found = found[unused[found]]
+                if room and len(found):
+                    i = int(found[score[found].argmax()])
+                    members.append(take(i, room))
                     room -= len(members[-1][3])
                     if unused[i]:
-                        cut.append(int(i))
+                        cut.append(i)
             ahead = at
             while room:  # no neighbour is left: the longest pieces follow
                 while not unused[by_length[ahead]]:
