@@ -151,6 +151,13 @@ def test_repeated_words_of_a_column_are_encoded_once(monkeypatch):
     assert sum(asked) < sum(map(len, texts)) / 20
 
 
+def test_a_worker_keeps_no_more_chunks_than_it_has_room_for(by_chunks, whole):
+    """All of the first batch were kept, and each later batch paid for them."""
+    for k in range(3):
+        check_column(by_chunks, whole, [" ".join(f"n{k}x{i}" for i in range(200)), "a b"])
+        assert len(by_chunks.known[0]) <= 40
+
+
 def test_other_definitions_have_no_rank_encoder(definition):
     with pytest.raises(ValueError):
         bpe.RankEncoder(definition)  # its pattern is a step of its own

@@ -34,7 +34,7 @@ CACHE_CHUNKS = 300_000
 LATIN_END = "\u0250"
 #: Bytes of text whose distinct chunks are encoded together, which bounds the memory of array work.
 CHUNK_BYTES = 1 << 22
-#: Distinct chunks from which on a worker keeps no more; larger tables take longer to look up than to encode anew.
+#: Distinct chunks a worker keeps, the first that it saw; larger tables take longer to look up than to encode anew.
 KNOWN_CHUNKS = 50_000
 #: White space beyond ASCII in any version of Unicode, its UTF-8 bytes read as a number.
 WIDE_SPACE = [int.from_bytes(chr(c).encode(), "big")
@@ -274,7 +274,7 @@ class RankEncoder:
         first = np.concatenate([first, more[1] + len(ids)])
         ids, count = np.concatenate([ids, more[0]]), np.concatenate([count, more[2]])
         if len(known) < self.room and bounds[-1] - bounds[0] <= CHUNK_BYTES:
-            self.known = (found.dictionary, ids, first, count)
+            self.known = (found.dictionary[: self.room], ids, first[: self.room], count[: self.room])
         which = found.indices.to_numpy()[len(known) :]
         return ids[ranges(first[which], count[which])], count[which]
 
